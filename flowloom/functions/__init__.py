@@ -15,11 +15,12 @@ from flowloom.functions.columns import (
     ratio,
     squeeze_label,
     string_hash,
+    to_places,
     verdict_text,
 )
 
 __all__ = [
     "HASH_BITS", "alert_level", "argmax_index", "at_least", "clip_low", "decide", "finite", "half_even", "hash60",
     "is_inf", "is_missing", "named", "numeric", "ratio", "squeeze_label", "string_hash",
-    "verdict_text",
+    "to_places", "verdict_text",
 ]

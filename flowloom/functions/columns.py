@@ -59,6 +59,12 @@ def half_even(c: Column) -> Column:
     return F.bround(c, 0).cast("long")
 
 
+def to_places(c: Column, places: int) -> Column:
+    """Scaled, rounded to the even neighbour and scaled back, as array libraries round."""
+    scale = F.lit(float(10**places))
+    return F.rint(c * scale) / scale
+
+
 def hash60(seed: int | str, key: Column) -> Column:
     """Uniform 60-bit number from seed and row key; the same under any partitioning."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.contracts import CLASS_NAMES
-from flowloom.functions import alert_level, argmax_index, decide, verdict_text
+from flowloom.functions import alert_level, argmax_index, decide, to_places, verdict_text
 
 
 def verdicts(df: DataFrame, threshold: float, score: str = "p", keep: Sequence[str] = ()) -> DataFrame:
     """Score at four places, 0/1 prediction and its text, next to pass-through columns."""
     prediction = decide(F.col(score), threshold)
     return df.select(
-        *keep, F.round(score, 4).alias("attack_proba"), prediction.alias("prediction"),
+        *keep, to_places(F.col(score), 4).alias("attack_proba"), prediction.alias("prediction"),
         verdict_text(prediction).alias("verdict"),
     )
 

@@ -379,7 +379,7 @@ gapped AS (SELECT *, us - lag(us) OVER (PARTITION BY user_id, flow, fwd ORDER BY
 
 
 def _sd(n: str, total: str, squares: str) -> str:
-    return f"CASE WHEN {n} < 2 THEN 0 ELSE ({n} * {squares} - {total} * {total})::DOUBLE / ({n}::DOUBLE * ({n} - 1)::DOUBLE) END"
+    return f"CASE WHEN {n} < 2 THEN 0 ELSE ({n}::HUGEINT * {squares} - {total}::HUGEINT * {total})::DOUBLE / ({n}::DOUBLE * ({n} - 1)::DOUBLE) END"
 
 
 def _packet_columns(gaps: bool) -> str:
@@ -455,7 +455,7 @@ ORACLES["argmax_class"] = f"WITH {SCORED_K} SELECT row_key, list_position(probs,
 ORACLES["alert_level"] = f"""WITH {SCORED2}
 SELECT row_key, p, CASE WHEN p >= 0.85::DOUBLE THEN 'anomaly' WHEN p >= 0.7::DOUBLE THEN 'warning' ELSE 'normal' END AS alert FROM scored2"""
 ORACLES["verdict"] = f"""WITH {SCORED2}
-SELECT row_key, family, round(p_b, 4) AS attack_proba, (p_b >= 0.7::DOUBLE)::INT AS prediction,
+SELECT row_key, family, round_even(p_b * 10000, 0) / 10000 AS attack_proba, (p_b >= 0.7::DOUBLE)::INT AS prediction,
   CASE WHEN p_b >= 0.7::DOUBLE THEN 'ATTACK' ELSE 'BENIGN' END AS verdict FROM scored2"""
 _NAMES = "['Benign', 'DoS', 'DDoS', 'Recon', 'BruteForce', 'WebAttack', 'Bot', 'Spoofing']"
 _ATTACK_CLASS = f"""CASE WHEN p < 0.7::DOUBLE THEN 'Benign' WHEN probs IS NULL THEN 'Attack'

@@ -53,7 +53,9 @@ def _doubles(df: DataFrame, columns) -> DataFrame:
 
 
 def _rounded(df: DataFrame, columns, places: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(named(c), places) for c in columns})
+    """Real-valued sums at fixed places: their last bits depend on the order of addition."""
+    scale = F.lit(float(10**places))
+    return df.withColumns({c: F.round(named(c) * scale) / scale for c in columns})
 
 
 # ---- ingest and alignment -------------------------------------------------
