@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from flowloom.contracts import HEADER_PREFIX, KNOWN_HEADERLESS
 from flowloom.operators.schema import align, drop_identity, stamp, to_numeric
@@ -28,6 +29,10 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path)
+
+
 def lineage(root: str, path: Column) -> dict[str, Column]:
     """Relative path, file name and top folder (= class) of a source path."""
     relative = _relative(path, root)
@@ -39,30 +44,33 @@ def lineage(root: str, path: Column) -> dict[str, Column]:
 
 
 def list_csv(spark: SparkSession, root: str) -> DataFrame:
-    """All CSV files below root with their size; file contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(root)
-        .select("path", "length")
-    )
-    return files.withColumns(lineage(root, F.col("path")))
+    """Paths of all CSV files below root, empty ones included; file contents are not read."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    paths = [(p,) for p in sorted(listing.load(root).inputFiles())]
+    encoded = spark.createDataFrame(paths, "encoded string").repartition(max(1, len(paths) // 1000))
+    return encoded.select(_decoded(F.col("encoded")).alias("path")).withColumns(lineage(root, F.col("path")))
+
 
+def _open_file(uri: str) -> tuple[pafs.FileSystem, str]:
+    local = _plain(uri)
+    if "://" in local:
+        return pafs.FileSystem.from_uri(quote(local, safe=":/@=?&"))
+    return pafs.LocalFileSystem(), local
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First line of each listed file; reads no further than the first line break."""
+
+def _heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Size and first line of each listed file; reads no further than the first line break."""
     for files in batches:
-        lines = []
+        sizes, lines = [], []
         for uri in files["path"]:
-            uri = re.sub(r"^file:/+", "file:///", uri)
-            system, path = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+            system, path = _open_file(uri)
+            sizes.append(system.get_file_info(path).size)
             with system.open_input_stream(path) as stream:
                 head = b""
                 while b"\n" not in head and (more := stream.read(HEAD_BYTES)):
                     head += more
             lines.append(head.split(b"\n", 1)[0].decode("utf-8", "replace").strip())
-        yield files.assign(first_line=lines)
+        yield files.assign(length=sizes, first_line=lines)
 
 
 def file_inventory(spark: SparkSession, root: str, known_headerless: Sequence[str] = KNOWN_HEADERLESS) -> DataFrame:
@@ -72,7 +80,8 @@ def file_inventory(spark: SparkSession, root: str, known_headerless: Sequence[st
     without header that is not on the known list.
     """
     files = list_csv(spark, root)
-    heads = files.mapInPandas(_first_lines, StructType([*files.schema.fields, StructField("first_line", StringType())]))
+    found = [StructField("length", LongType()), StructField("first_line", StringType())]
+    heads = files.mapInPandas(_heads, StructType([*files.schema.fields, *found]))
     known = F.replace("source_relative_file", F.lit("\\"), F.lit("/")).isin(
         [k.replace("\\", "/") for k in known_headerless]
     )
@@ -130,14 +139,10 @@ def _read_text_columns(
 
 def _not_utf8(spark: SparkSession, paths: Sequence[str]) -> set[str]:
     """Files with bytes that are not UTF-8; a scan that returns file names only."""
-    text = spark.read.text(list(paths)).where(F.col("value").contains("�"))
+    text = spark.read.text(list(paths)).where(~F.is_valid_utf8("value"))
     return {r.p for r in text.select(_decoded(F.col("_metadata.file_path")).alias("p")).distinct().collect()}
 
 
-def _plain(path: str) -> str:
-    return re.sub(r"^file:/+", "/", path)
-
-
 def read_flow_csv(
     spark: SparkSession,
     root: str,
