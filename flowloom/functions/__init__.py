@@ -1,5 +1,4 @@
 from flowloom.functions.columns import (
-    HASH_BITS,
     alert_level,
     argmax_index,
     at_least,
@@ -7,12 +6,12 @@ from flowloom.functions.columns import (
     decide,
     finite,
     half_even,
-    hash60,
     is_inf,
     is_missing,
     named,
     numeric,
     ratio,
+    seeded_hash,
     squeeze_label,
     string_hash,
     to_places,
@@ -20,7 +19,7 @@ from flowloom.functions.columns import (
 )
 
 __all__ = [
-    "HASH_BITS", "alert_level", "argmax_index", "at_least", "clip_low", "decide", "finite", "half_even", "hash60",
-    "is_inf", "is_missing", "named", "numeric", "ratio", "squeeze_label", "string_hash",
+    "alert_level", "argmax_index", "at_least", "clip_low", "decide", "finite", "half_even",
+    "is_inf", "is_missing", "named", "numeric", "ratio", "seeded_hash", "squeeze_label", "string_hash",
     "to_places", "verdict_text",
 ]

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HASH_BITS = 60
-
 # What counts as a number in a flow file. Anything else is missing,
 # including Java spellings such as "1d" that a plain cast would accept.
 _DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -65,10 +63,9 @@ def to_places(c: Column, places: int) -> Column:
     return F.rint(c * scale) / scale
 
 
-def hash60(seed: int | str, key: Column) -> Column:
-    """Uniform 60-bit number from seed and row key; the same under any partitioning."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+def seeded_hash(seed: int | str, key: Column) -> Column:
+    """Uniform hash of seed and row key as 32 hex digits; the same under any partitioning."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
 def string_hash(text: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flowloom.contracts import contract_problems
 from flowloom.operators.cleaning import inf_nan_summary
+from flowloom.session import literal_table
 
 
 class AuditError(RuntimeError):
@@ -28,7 +29,7 @@ def _number(c: Column) -> Column:
 def known_checks(spark: SparkSession, results: Sequence[tuple[str, bool, str]]) -> DataFrame:
     """Check rows for facts known without reading data."""
     rows = [(name, "PASS" if good else "FAIL", detail) for name, good, detail in results]
-    return spark.createDataFrame(rows, "check string, status string, detail string")
+    return literal_table(spark, rows, "check string, status string, detail string")
 
 
 def contract_checks(spark: SparkSession, names: Sequence[str]) -> DataFrame:

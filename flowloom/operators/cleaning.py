@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from flowloom.functions import finite, is_inf, is_missing, named
 from flowloom.operators.quantiles import WIDE, exact_quantiles
 from flowloom.operators.schema import require_columns
+from flowloom.session import literal_table
 
 
 def _per_feature(df: DataFrame, features: Sequence[str], measures) -> DataFrame:
@@ -92,7 +93,7 @@ def fit_fill(df: DataFrame, features: Sequence[str], strategy: str = "median", *
 
 
 def fill_table(spark: SparkSession, fills: Mapping[str, float]) -> DataFrame:
-    return spark.createDataFrame(list(fills.items()), "feature string, fill double")
+    return literal_table(spark, list(fills.items()), "feature string, fill double")
 
 
 def apply_fill(df: DataFrame, fills: Mapping[str, float]) -> DataFrame:

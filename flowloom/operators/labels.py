@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from flowloom.contracts import CLASS_NAMES, TAXONOMIES
 from flowloom.functions import named, squeeze_label
+from flowloom.session import literal_table
 
 
 def taxonomy_table(spark: SparkSession, taxonomies: Mapping[str, Mapping[str, int]] = TAXONOMIES) -> DataFrame:
     """Dimension (taxonomy, label, class_id); one row per known label."""
     rows = [(t, label, cid) for t, table in taxonomies.items() for label, cid in table.items()]
-    return spark.createDataFrame(rows, "taxonomy string, label string, class_id int")
+    return literal_table(spark, rows, "taxonomy string, label string, class_id int")
 
 
 def class_table(spark: SparkSession, names: list[str] = CLASS_NAMES) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(names)), "class_id int, class_name string")
+    return literal_table(spark, list(enumerate(names)), "class_id int, class_name string")
 
 
 def map_labels(df: DataFrame, dim: DataFrame, taxonomy: str, label_col: str = "label") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from flowloom.contracts import CLASS_NAMES
 from flowloom.functions import at_least
 from flowloom.operators.decisions import class_name
-from flowloom.session import shared_dir
+from flowloom.session import literal_table, shared_dir
 
 _WORK = ["_features", "rawPrediction", "probability", "prediction"]
 
@@ -69,7 +69,7 @@ def feature_importance(model: PipelineModel, spark: SparkSession, n: int | None
     """Importance per feature, highest first."""
     names = model.stages[0].getInputCols()
     weights = model.stages[-1].featureImportances.toArray().tolist()
-    table = spark.createDataFrame(list(zip(names, weights)), "feature string, importance double")
+    table = literal_table(spark, list(zip(names, weights)), "feature string, importance double")
     ordered = table.orderBy(F.desc("importance"), "feature")
     return ordered.limit(n) if n else ordered
 
@@ -116,7 +116,7 @@ _ENTRY_SCHEMA = (
 def publish(spark: SparkSession, root: str, entry: ModelEntry, model: PipelineModel) -> None:
     """Save model and registry row below a shared root folder."""
     model.write().overwrite().save(f"{root}/{entry.id}/model")
-    row = spark.createDataFrame([asdict(entry)], _ENTRY_SCHEMA)
+    row = literal_table(spark, [tuple(asdict(entry).values())], _ENTRY_SCHEMA)
     row.coalesce(1).write.mode("overwrite").json(f"{root}/{entry.id}/entry")
 
 

@@ -78,7 +78,6 @@ def _packet_measures() -> list[Column]:
     """Aggregates that do not need packet order; shared with the streaming job."""
     return [
         F.min("us").alias("first_us"), F.max("us").alias("last_us"),
-        F.min_by("side", F.struct("us", "packet_id")).alias("opener"),
         *[m for s in SIDES for m in _side_measures(s)],
         *[F.sum(f).alias(f) for f in FLAGS],
     ]
@@ -91,50 +90,67 @@ _GAPS = ["gap", *[f"gap_{s}" for s in SIDES]]
 
 
 def _runs(packets: DataFrame, gap_us: int, slice_us: int) -> DataFrame:
-    """Gap-free runs inside one time slice of one endpoint pair."""
+    """Gap-free runs inside one time slice of one endpoint pair, numbered in time order."""
     cell = [*KEY, "slice"]
     order = W.partitionBy(*cell).orderBy("us", "packet_id")
     before = order.rowsBetween(W.unboundedPreceding, -1)
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    previous = F.lag("us").over(order)
-    step = packets.withColumn("slice", F.floor(F.col("us") / slice_us)).withColumn("_prev", previous)
-    step = step.withColumns({f"_prev_{s}": F.last(F.when(F.col("side") == s, F.col("us")), True).over(before) for s in SIDES})
+    step = packets.withColumn("slice", F.floor(F.col("us") / slice_us)).withColumns(
+        {"_prev": F.lag("us").over(order)}
+        | {f"_prev_{s}": F.last(F.when(F.col("side") == s, F.col("us")), True).over(before) for s in SIDES}
+    )
     starts = F.col("_prev").isNull() | (F.col("us") - F.col("_prev") > gap_us)
-    step = step.withColumn("_starts", starts)
-    step = step.withColumn("_run", F.max(F.when(F.col("_starts"), F.struct("us", "packet_id"))).over(so_far))
+    step = step.withColumns(
+        {
+            "_starts": starts,
+            "run": F.count_if(starts).over(so_far),
+            "_since": F.max(F.when(starts, F.col("us"))).over(so_far),
+        }
+    )
     gaps = {"gap": F.when(~F.col("_starts"), F.col("us") - F.col("_prev"))}
     for s in SIDES:
-        inside = (F.col("side") == s) & ~F.col("_starts") & (F.col(f"_prev_{s}") >= F.col("_run.us"))
+        inside = (F.col("side") == s) & ~F.col("_starts") & (F.col(f"_prev_{s}") >= F.col("_since"))
         gaps[f"gap_{s}"] = F.when(inside, F.col("us") - F.col(f"_prev_{s}"))
     return (
         step.withColumns(gaps)
-        .groupBy(*cell, "_run")
-        .agg(*_packet_measures(), *[m for g in _GAPS for m in _gap_sums(F.col(g), g)])
+        .groupBy(*cell, "run")
+        .agg(
+            F.max(F.when(F.col("_starts"), F.col("side"))).alias("opener"),
+            *_packet_measures(),
+            *[m for g in _GAPS for m in _gap_sums(F.col(g), g)],
+        )
     )
 
 
 def _joined_runs(runs: DataFrame, gap_us: int) -> DataFrame:
     """Whole flows: runs at slice edges are chained over the slices of their pair."""
-    in_slice = W.partitionBy(*KEY, "slice")
-    edge = (F.col("_run") == F.min("_run").over(in_slice)) | (F.col("_run") == F.max("_run").over(in_slice))
-    runs = runs.withColumn("_lane", F.when(edge, F.lit(-1)).otherwise(F.xxhash64("_run", "slice")))
+    last_run = F.max("run").over(W.partitionBy(*KEY, "slice"))
+    inner = (F.col("run") > 1) & (F.col("run") < last_run)
     lane = [*KEY, "_lane"]
-    order = W.partitionBy(*lane).orderBy("_run")
+    order = W.partitionBy(*lane).orderBy("slice", "run")
     before = order.rowsBetween(W.unboundedPreceding, -1)
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    step = runs.withColumn("_prev", F.lag("last_us").over(order))
-    step = step.withColumns({f"_prev_{s}": F.last(f"last_{s}", True).over(before) for s in SIDES})
-    step = step.withColumn("_starts", F.col("_prev").isNull() | (F.col("first_us") - F.col("_prev") > gap_us))
-    step = step.withColumn("_flow", F.max(F.when(F.col("_starts"), F.col("_run"))).over(so_far))
+    step = runs.withColumn("_lane", F.when(inner, F.xxhash64("slice", "run")).otherwise(-1)).withColumns(
+        {"_prev": F.lag("last_us").over(order)}
+        | {f"_prev_{s}": F.last(f"last_{s}", True).over(before) for s in SIDES}
+    )
+    starts = F.col("_prev").isNull() | (F.col("first_us") - F.col("_prev") > gap_us)
+    step = step.withColumns(
+        {
+            "_starts": starts,
+            "_flow": F.count_if(starts).over(so_far),
+            "_since": F.max(F.when(starts, F.col("first_us"))).over(so_far),
+        }
+    )
     bridges = {"bridge": F.when(~F.col("_starts"), F.col("first_us") - F.col("_prev"))}
     for s in SIDES:
-        inside = ~F.col("_starts") & (F.col(f"_prev_{s}") >= F.col("_flow.us"))
+        inside = ~F.col("_starts") & (F.col(f"_prev_{s}") >= F.col("_since"))
         bridges[f"bridge_{s}"] = F.when(inside, F.col(f"first_{s}") - F.col(f"_prev_{s}"))
     merged = []
     for g, b in zip(_GAPS, bridges, strict=True):
+        squares = F.coalesce(F.col(f"{g}_sq"), F.lit(0)) + F.coalesce(_square(F.col(b)), F.lit(0))
         merged += [
-            (F.coalesce(F.sum(f"{g}_sq"), F.lit(0)) + F.coalesce(F.sum(_square(F.col(b))), F.lit(0)))
-            .cast(_BIG).alias(f"{g}_sq"),
+            F.sum(squares).cast(_BIG).alias(f"{g}_sq"),
             F.least(F.min(f"{g}_min"), F.min(b)).alias(f"{g}_min"),
             F.greatest(F.max(f"{g}_max"), F.max(b)).alias(f"{g}_max"),
         ]
@@ -142,7 +158,7 @@ def _joined_runs(runs: DataFrame, gap_us: int) -> DataFrame:
         step.withColumns(bridges)
         .groupBy(*lane, "_flow")
         .agg(
-            F.min_by("opener", "_run").alias("opener"),
+            F.max(F.when(F.col("_starts"), F.col("opener"))).alias("opener"),
             *[F.sum(c).alias(c) for c in _SUMMED],
             *[F.min(c).alias(c) for c in _LOW],
             *[F.max(c).alias(c) for c in _HIGH],
@@ -240,5 +256,6 @@ def packets_to_flows(packets: DataFrame, gap_seconds: float, slice_seconds: floa
 def flows_in_session_windows(packets: DataFrame, gap_seconds: int) -> DataFrame:
     """The features that need no packet order, by session window; also runs on a stream."""
     windows = F.session_window(F.col("ts"), f"{gap_seconds} seconds")
-    merged = with_pair(packets).groupBy(*KEY, windows).agg(*_packet_measures())
+    opener = F.min_by("side", F.struct("us", "packet_id")).alias("opener")
+    merged = with_pair(packets).groupBy(*KEY, windows).agg(opener, *_packet_measures())
     return _flow_features(merged, gaps=False)

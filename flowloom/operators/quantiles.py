@@ -46,36 +46,40 @@ def _chunks(items: Sequence, size: int = WIDE):
     return [items[i : i + size] for i in range(0, len(items), size)]
 
 
-def _summary(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+def _asked(first: float, last: float, accuracy: int) -> list[float]:
+    """Probabilities that safely enclose a relative rank, given the sketch's rank error."""
+    slack = 2.0 / accuracy
+    return [max(0.0, first - slack), min(1.0, last + slack)]
+
+
+def _sketch(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int):
+    """First pass: count, ends and enclosing sketch values of every column."""
+    asked = [q for p in probabilities for q in _asked(p, p, accuracy)]
     found = {}
     for part in _chunks(columns):
         cells = []
-        for c in part:
+        for i, c in enumerate(part):
             v = finite(named(c)).cast("double")
-            cells.append(F.struct(F.count(v), F.min(v), F.max(v)))
-        row = df.agg(*[cell.alias(f"_{i}") for i, cell in enumerate(cells)]).first()
-        found.update({c: tuple(row[i]) for i, c in enumerate(part)})
+            cells.append(F.struct(F.count(v), F.min(v), F.max(v), F.percentile_approx(v, asked, accuracy)).alias(f"_{i}"))
+        row = df.agg(*cells).first()
+        for i, c in enumerate(part):
+            n, low, high, sketch = row[i]
+            pairs = [(sketch[k], sketch[k + 1]) for k in range(0, len(asked), 2)] if n else []
+            found[c] = (n, low, high, dict(zip(probabilities, pairs)))
     return found
 
 
-def _narrow(df: DataFrame, ranges: list[_Range], accuracy: int) -> bool:
-    """One sketch pass and one counting pass; true if some range got smaller."""
+def _confirm(df: DataFrame, ranges: list[_Range], edges: list[tuple[float, float]]) -> bool:
+    """Counting pass: take over each proposed range that holds its ranks; true if one got smaller."""
     moved = False
-    for part in _chunks(ranges):
-        slack = 2.0 / accuracy
-        asks = []
-        for i, r in enumerate(part):
-            lo = max(0.0, (r.first - r.below) / r.inside - slack)
-            hi = min(1.0, (r.last - r.below + 1) / r.inside + slack)
-            asks.append(F.percentile_approx(r.value, [lo, hi], accuracy).alias(f"_{i}"))
-        edges = df.agg(*asks).first()
-        checks = []
-        for i, r in enumerate(part):
-            lo, hi = edges[i]
-            checks.append(F.struct(F.count_if(r.value < lo), F.count_if(r.value.between(lo, hi))).alias(f"_{i}"))
+    for part in _chunks(list(zip(ranges, edges))):
+        checks = [
+            F.struct(F.count_if(r.value < lo), F.count_if(r.value.between(lo, hi))).alias(f"_{i}")
+            for i, (r, (lo, hi)) in enumerate(part)
+        ]
         counts = df.agg(*checks).first()
-        for i, r in enumerate(part):
-            (lo, hi), (less, within) = edges[i], counts[i]
+        for i, (r, (lo, hi)) in enumerate(part):
+            less, within = counts[i]
             below = r.below + less
             if below <= r.first and r.last < below + within and within < r.inside:
                 r.low, r.high, r.below, r.inside = lo, hi, below, within
@@ -83,31 +87,48 @@ def _narrow(df: DataFrame, ranges: list[_Range], accuracy: int) -> bool:
     return moved
 
 
+def _resketch(df: DataFrame, ranges: list[_Range], accuracy: int) -> list[tuple[float, float]]:
+    """Sketch only the values inside each range."""
+    edges: list[tuple[float, float]] = []
+    for part in _chunks(ranges):
+        asks = []
+        for i, r in enumerate(part):
+            inner = _asked((r.first - r.below) / r.inside, (r.last - r.below + 1) / r.inside, accuracy)
+            asks.append(F.percentile_approx(r.value, inner, accuracy).alias(f"_{i}"))
+        edges += [tuple(pair) for pair in df.agg(*asks).first()]
+    return edges
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    settle_rows: int = 2_000_000,
+    settle_rows: int = 50_000,
     accuracy: int = 10_000,
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles over the finite values of each column; None for an empty column."""
-    summary = _summary(df, columns)
+    """Linear-interpolated quantiles over the finite values of each column; None for an empty column.
+
+    Usually three scans of the columns: sketch, count, pick. Ranges that still
+    hold more than `settle_rows` rows are sketched and counted again.
+    """
+    first_pass = _sketch(df, columns, probabilities, accuracy)
     ranges: dict[tuple, _Range] = {}
     for c in columns:
-        n, low, high = summary[c]
+        n, low, high, _ = first_pass[c]
         for p in probabilities if n else ():
             at = (n - 1) * p
             ranges[c, p] = _Range(c, math.floor(at), min(math.floor(at) + 1, n - 1), low, high, 0, n)
 
-    while True:
-        loose = [r for r in ranges.values() if r.loose(settle_rows)]
-        if not loose or not _narrow(df, loose, accuracy):
-            break
+    loose = [k for k, r in ranges.items() if r.loose(settle_rows)]
+    edges = [first_pass[c][3][p] for c, p in loose]
+    while loose and _confirm(df, [ranges[k] for k in loose], edges):
+        loose = [k for k in loose if ranges[k].loose(settle_rows)]
+        edges = _resketch(df, [ranges[k] for k in loose], accuracy)
 
     picked = _values_at(df, list(ranges.values()))
     result: dict[str, list[float | None]] = {}
     for c in columns:
-        n = summary[c][0]
+        n = first_pass[c][0]
         cells = []
         for p in probabilities if n else ():
             r, at = ranges[c, p], (n - 1) * p

@@ -1,11 +1,11 @@
 """Exact, repeatable sampling without replacement.
 
-A row's place is decided by a 60-bit hash of seed and row key. "The n rows with
-the lowest hash" is an exact uniform sample, independent of partitioning.
-Ranking whole groups would put a hot file or class into one task, so the cut
-hash of every group is found from counts: a histogram of leading hash bits
-(merged map-side) shows in which hash range the n-th row lies, and only that
-thin range is ranked. The sample itself is then a plain filter.
+A row's place is decided by a hash of seed and row key. "The n rows with the
+lowest hash" is an exact uniform sample, independent of partitioning. Ranking
+whole groups would put a hot file or class into one task, so the cut hash of
+every group is found from counts: a histogram of leading hex digits (merged
+map-side) shows in which hash range the n-th row lies, and only that thin range
+is ranked. The sample itself is then a plain filter.
 """
 
 from __future__ import annotations
@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowloom.functions import HASH_BITS, half_even, hash60
+from flowloom.functions import seeded_hash
 from flowloom.operators.quotas import largest_remainder
+from flowloom.session import settle
 
 RANGE_ROWS = 4096  # aimed rows per hash range
-MAX_RANGE_BITS = 16  # at most 65,536 ranges per group
+MAX_DIGITS = 4  # at most 16**4 ranges per group
+BELOW_ALL, ABOVE_ALL = "", "~"  # sort before and after every hex digit
 
 
 def cut_points(
@@ -34,60 +36,65 @@ def cut_points(
     """Per target the hash and key of the last row inside its sample.
 
     `targets` has the group columns, `cut` (its name), `total_rows` of the group
-    and `want`. Adds `cut_hash` and `cut_key`; wanting nothing gives hash -1,
-    wanting all of a group gives a hash above every row.
+    and `want`. Adds `cut_hash` and `cut_key`; wanting nothing gives a hash below
+    every row, wanting all of a group one above every row.
     """
     tag = [*group, "cut"]
-    spread = F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("total_rows") / F.lit(float(range_rows)))))
-    targets = targets.withColumn("_bits", F.least(F.lit(MAX_RANGE_BITS), spread).cast("int"))
-    undecided = targets.where("want > 0 AND want < total_rows").select(*tag, "want", "_bits")
-    hashed = rows.select(*group, F.col(key).alias("cut_key"), hash60(seed, F.col(key)).alias("cut_hash"))
-    bucket = F.expr(f"shiftright(cut_hash, {HASH_BITS} - _bits)")
+    targets = settle(targets, "cut-targets")
+    ranges = F.greatest(F.lit(1.0), F.col("total_rows") / F.lit(float(range_rows)))
+    targets = targets.withColumn("_digits", F.least(F.lit(MAX_DIGITS), F.ceil(F.log(16.0, ranges))).cast("int"))
+    undecided = targets.where("want > 0 AND want < total_rows").select(*tag, "want", "_digits")
+    hashed = rows.select(*group, F.col(key).alias("cut_key"), seeded_hash(seed, F.col(key)).alias("cut_hash"))
+    leading = F.substring(F.col("cut_hash"), F.lit(1), F.col("_digits"))
 
     histogram = (
         hashed.join(undecided, list(group))
-        .groupBy(*tag, "want", "_bits", bucket.alias("_bucket"))
+        .groupBy(*tag, "want", "_digits", leading.alias("_range"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    upto = F.sum("_n").over(W.partitionBy(*tag).orderBy("_bucket"))
-    edge = (
+    upto = F.sum("_n").over(W.partitionBy(*tag).orderBy("_range"))
+    edge = settle(
         histogram.withColumn("_upto", upto)
         .where("_upto >= want AND _upto - _n < want")
-        .select(*tag, "_bits", "_bucket", (F.col("want") - F.col("_upto") + F.col("_n")).alias("_need"))
+        .select(*tag, "_digits", "_range", (F.col("want") - F.col("_upto") + F.col("_n")).alias("_need")),
+        "cut-ranges",
     )
     place = F.row_number().over(W.partitionBy(*tag).orderBy("cut_hash", "cut_key"))
     last = (
         hashed.join(edge, list(group))
-        .where(bucket == F.col("_bucket"))
+        .where(leading == F.col("_range"))
         .withColumn("_place", place)
         .where("_place = _need")
         .select(*tag, "cut_hash", "cut_key")
     )
-    edge_hash = F.when(F.col("want") <= 0, F.lit(-1)).when(
-        F.col("want") >= F.col("total_rows"), F.lit(1 << HASH_BITS)
-    )
-    return targets.join(last, tag, "left").select(
-        *tag, "want", "total_rows", F.coalesce(edge_hash, "cut_hash").cast("long").alias("cut_hash"), "cut_key"
-    )
+    sure = F.when(F.col("want") <= 0, BELOW_ALL).when(F.col("want") >= F.col("total_rows"), ABOVE_ALL)
+    cuts = targets.join(last, tag, "left").drop("_digits").withColumn("cut_hash", F.coalesce(sure, "cut_hash"))
+    return settle(cuts, "cuts")
 
 
 def _inside(seed: int, key: str, cut_hash: Column, cut_key: Column) -> Column:
-    h = hash60(seed, F.col(key))
+    h = seeded_hash(seed, F.col(key))
     return (h < cut_hash) | ((h == cut_hash) & (F.col(key) <= cut_key))
 
 
 def take_exact(
-    rows: DataFrame, targets: DataFrame, group: Sequence[str], key: str = "row_key", seed: int = 42, **tuning: int
+    rows: DataFrame,
+    targets: DataFrame,
+    group: Sequence[str],
+    key: str = "row_key",
+    seed: int = 42,
+    carry: Sequence[str] = (),
+    **tuning: int,
 ) -> DataFrame:
     """Keep exactly `want` rows of each group; groups without a target are dropped.
 
-    Row keys have to be unique. `targets` holds the group columns, `total_rows`
-    and `want`; pass it settled, it is read more than once.
+    Row keys have to be unique. `targets` holds the group columns, `total_rows`,
+    `want` and any columns to `carry` over to the rows.
     """
     cuts = cut_points(rows, targets.withColumn("cut", F.lit(0)), group, key, seed, **tuning)
-    limits = cuts.select(*group, "cut_hash", F.col("cut_key").alias("_cut_key"))
+    limits = cuts.select(*group, *carry, "cut_hash", F.col("cut_key").alias("_cut_key"))
     kept = rows.join(limits, list(group)).where(_inside(seed, key, F.col("cut_hash"), F.col("_cut_key")))
-    return kept.select(*rows.columns)
+    return kept.select(*rows.columns, *carry)
 
 
 def sample_shortfall(sample: DataFrame, targets: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -102,12 +109,11 @@ def sample_files(rows: DataFrame, manifest: DataFrame, seed: int = 42, **tuning:
     """Rows with their split: training attack files cut to their quota, all others whole."""
     capped = (F.col("split") == "train") & (F.col("target_binary") == 1)
     targets = manifest.select(
-        "source_relative_file",
+        "source_relative_file", "split",
         F.col("rows").alias("total_rows"),
         F.when(capped, F.col("train_attack_quota")).otherwise(F.col("rows")).alias("want"),
     )
-    kept = take_exact(rows, targets, ["source_relative_file"], seed=seed, **tuning)
-    return kept.join(manifest.select("source_relative_file", "split"), "source_relative_file")
+    return take_exact(rows, targets, ["source_relative_file"], seed=seed, carry=["split"], **tuning)
 
 
 def split_stats(df: DataFrame) -> DataFrame:
@@ -178,19 +184,42 @@ def class_counts(rows: DataFrame, class_col: str) -> DataFrame:
     return rows.groupBy(class_col).agg(F.count(F.lit(1)).alias("total_rows"))
 
 
-def sample_n(rows: DataFrame, n: Column | int, key: str = "row_key", seed: int = 42, **tuning: int) -> DataFrame:
+def _inside_all(rows: DataFrame, n: int, total: int, key: str, seed: int, range_rows: int) -> Column:
+    """Condition for the n lowest hashes of the whole table, as literals.
+
+    Each round counts the next leading digits inside the range found so far, until
+    the range is thin enough to look up the last row.
+    """
+    if n <= 0 or n >= total:
+        return F.lit(n >= total)
+    hashed = rows.select(F.col(key).alias("k"), seeded_hash(seed, F.col(key)).alias("h"))
+    prefix, need, inside = "", n, total
+    while inside > range_rows and len(prefix) + MAX_DIGITS <= 32:
+        digits = F.substring("h", len(prefix) + 1, MAX_DIGITS).alias("r")
+        counts = hashed.where(F.startswith("h", F.lit(prefix))).groupBy(digits).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(W.orderBy("r"))  # at most 16**4 rows
+        edge = counts.withColumn("upto", upto).where((F.col("upto") >= need) & (F.col("upto") - F.col("n") < need)).first()
+        prefix, need, inside = prefix + edge.r, need - edge.upto + edge.n, edge.n
+    last = hashed.where(F.startswith("h", F.lit(prefix))).orderBy("h", "k").offset(need - 1).limit(1).first()
+    return _inside(seed, key, F.lit(last.h), F.lit(last.k))
+
+
+def sample_n(
+    rows: DataFrame, n: int, key: str = "row_key", seed: int = 42, range_rows: int = RANGE_ROWS, total: int | None = None
+) -> DataFrame:
     """Exactly n rows of the whole table (all of it when it is smaller)."""
-    n = n if isinstance(n, Column) else F.lit(n)
-    whole = rows.withColumn("_all", F.lit(0))
-    targets = whole.groupBy("_all").agg(F.count(F.lit(1)).alias("total_rows")).withColumn("want", n.cast("long"))
-    return take_exact(whole, targets, ["_all"], key, seed, **tuning).drop("_all")
+    total = rows.count() if total is None else total
+    return rows.where(_inside_all(rows, n, total, key, seed, range_rows))
 
 
-def sample_fraction(rows: DataFrame, fraction: float, key: str = "row_key", seed: int = 42, **tuning: int) -> DataFrame:
-    """Exactly round(fraction * rows) rows of the whole table."""
-    return sample_n(rows, half_even(F.col("total_rows") * F.lit(fraction)), key, seed, **tuning)
+def sample_fraction(
+    rows: DataFrame, fraction: float, key: str = "row_key", seed: int = 42, range_rows: int = RANGE_ROWS
+) -> DataFrame:
+    """Exactly round(fraction * rows) rows of the whole table, halves to the even number."""
+    total = rows.count()
+    return sample_n(rows, round(fraction * total), key, seed, range_rows, total)
 
 
 def shuffled(rows: DataFrame, key: str = "row_key", seed: int = 42) -> DataFrame:
     """The table in a repeatable random order (a range-partitioned sort)."""
-    return rows.orderBy(hash60(seed, F.col(key)), key)
+    return rows.orderBy(seeded_hash(seed, F.col(key)), key)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flowloom.contracts import KEY_FEATURES
 from flowloom.operators.quantiles import exact_quantiles
+from flowloom.session import literal_table
 
 _SHIFT_SCHEMA = "feature string, base_median double, other_median double, ratio double, base_p95 double, other_p95 double"
 
@@ -24,7 +25,7 @@ def domain_shift(base: DataFrame, other: DataFrame, features: Sequence[str], **t
         (f, a[f][0], b[f][0], b[f][0] / a[f][0] if a[f][0] and b[f][0] is not None else None, a[f][1], b[f][1])
         for f in shared
     ]
-    return base.sparkSession.createDataFrame(rows, _SHIFT_SCHEMA)
+    return literal_table(base.sparkSession, rows, _SHIFT_SCHEMA)
 
 
 def shift_severity(shift: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from flowloom.functions import named
 from flowloom.operators import audit, binary_eval, cleaning, models, sampling
-from flowloom.operators.labels import attack_flag
+from flowloom.operators.conversion import prepare_2018
+from flowloom.operators.labels import attack_flag, known_rows
 from flowloom.operators.manifest import file_stats, split_manifest
 from flowloom.operators.quotas import train_attack_quotas
 from flowloom.operators.schema import align_foreign, union_all
@@ -41,7 +42,10 @@ class Prepared:
 
 
 def clean_splits(rows: DataFrame, features: Sequence[str], strategy: str = "median") -> Prepared:
-    """Fill values from the training rows, applied to all splits in one projection."""
+    """Fill values from the training rows, applied to all splits in one projection.
+
+    Fitting scans the training rows a few times: pass a written split table.
+    """
     fills = cleaning.fit_fill(rows.where("split = 'train'"), features, strategy)
     return Prepared(cleaning.clean(rows, features, fills), fills)
 
@@ -59,7 +63,8 @@ def train_and_judge(rows: DataFrame, features: Sequence[str], label: str = "targ
     train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
     kept, _ = cleaning.drop_constant(train, features)
     model = models.train_boosted(train, val, kept, label, **params)
-    scored = models.score_binary(rows.where("split <> 'train'"), model)
+    judged = models.score_binary(rows.where("split <> 'train'"), model).drop(*features)
+    scored = settle(judged, "scores")  # the model runs once, the reports read its scores several times
     sweep = binary_eval.threshold_sweep(scored.where("split = 'val'"), y=label)
     threshold = binary_eval.best_threshold(sweep).first().best_threshold
     metrics = [
@@ -99,7 +104,10 @@ def cross_dataset(
 ) -> tuple[DataFrame, DataFrame]:
     """Align, clean and score a foreign table; overall metrics and detection per raw label."""
     rows = foreign_rows(df, renames, features, fills, label_col, benign_value, keep)
-    rows = rows.withColumn("p", score) if isinstance(score, Column) else models.score_binary(rows, score)
+    if isinstance(score, Column):
+        rows = rows.withColumn("p", score)
+    else:
+        rows = settle(models.score_binary(rows, score).select("y", "raw_label", "p"), "scores")
     return (
         binary_eval.binary_metrics(rows, threshold),
         binary_eval.per_label_detection(rows, threshold, benign_value),
@@ -109,10 +117,28 @@ def cross_dataset(
 def augment(base: DataFrame, extra: Sequence[DataFrame], class_col: str, caps: Mapping[int, int], seed: int = 42) -> DataFrame:
     """Union of training sets, at most `cap` rows per class."""
     everything = union_all(base, *extra)
-    counts = settle(sampling.class_counts(everything, class_col), "class-counts")
+    counts = sampling.class_counts(everything, class_col)
     return sampling.take_exact(everything, sampling.cap_targets(counts, caps, class_col), [class_col], seed=seed)
 
 
+def extend_training_set(
+    base: DataFrame,
+    foreign: DataFrame,
+    dim: DataFrame,
+    taxonomy: str,
+    caps: Mapping[int, int],
+    label_col: str = "Label",
+    key: str = "row_key",
+    seed: int = 42,
+) -> DataFrame:
+    """Add a labelled foreign capture to a 46-feature training table (key, class_id, features), capped per class.
+
+    Unknown labels go first, before any feature is computed.
+    """
+    known = known_rows(foreign, dim, taxonomy, label_col)
+    return augment(base, [prepare_2018(known, (key, "class_id"))], "class_id", caps, seed)
+
+
 def audit_split(rows: DataFrame, features: Sequence[str], absent: Sequence[str]) -> DataFrame:
     """All data checks on a cleaned split table."""
     by_split = {s: rows.where(F.col("split") == s) for s in ("train", "val", "test")}

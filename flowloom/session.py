@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
@@ -19,6 +23,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
@@ -40,6 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A few rows known in the program. Their size is part of the plan, so joins broadcast them."""
+    schema = StructType.fromDDL(ddl)
+    columns = list(zip(*rows)) or [[] for _ in schema]
+    table = pa.table([pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, schema)], schema.names)
+    return spark.createDataFrame(table, schema)
+
+
 def new_table_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/flowloom/{label}-{uuid.uuid4().hex}"
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from flowloom.contracts import HEADER_PREFIX, KNOWN_HEADERLESS
 from flowloom.operators.schema import align, drop_identity, stamp, to_numeric
+from flowloom.session import literal_table
 
 HEAD_BYTES = 65_536
 _OVERFLOW = "_beyond_last_column"
@@ -47,7 +48,7 @@ def list_csv(spark: SparkSession, root: str) -> DataFrame:
     """Paths of all CSV files below root, empty ones included; file contents are not read."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     paths = [(p,) for p in sorted(listing.load(root).inputFiles())]
-    encoded = spark.createDataFrame(paths, "encoded string").repartition(max(1, len(paths) // 1000))
+    encoded = literal_table(spark, paths, "encoded string").repartition(max(1, len(paths) // 1000))
     return encoded.select(_decoded(F.col("encoded")).alias("path")).withColumns(lineage(root, F.col("path")))
 
 

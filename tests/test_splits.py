@@ -98,7 +98,7 @@ def test_quota_target_and_policy(spark):
 
 
 def ranked(keys, seed=42):
-    return sorted(keys, key=lambda k: (int(hashlib.md5(f"{seed}:{k}".encode()).hexdigest()[:15], 16), k))
+    return sorted(keys, key=lambda k: (hashlib.md5(f"{seed}:{k}".encode()).hexdigest(), k))
 
 
 @pytest.mark.parametrize("range_rows", [1, 16, 4096])
@@ -153,6 +153,14 @@ def test_sample_size_edges(spark):
     assert sampling.sample_fraction(rows, 0.25).count() == 12  # 12.5 rounds to the even number
 
 
+@pytest.mark.parametrize("range_rows", [1, 100, 4096])
+def test_whole_table_sample_equals_full_ranking(spark, range_rows):
+    keys = [f"k{i}" for i in range(1000)]
+    rows = spark.createDataFrame([(k,) for k in keys], "row_key string").repartition(3)
+    got = sampling.sample_n(rows, 321, range_rows=range_rows)
+    assert sorted(r.row_key for r in got.collect()) == sorted(ranked(keys)[:321])
+
+
 def test_balanced_split_keeps_other_splits_whole(spark):
     rng = random.Random(1)
     rows = [

@@ -97,7 +97,7 @@ def _fin(c: str) -> str:
 
 
 def _hash(key: str = "row_key") -> str:
-    return f"substr(md5('42:' || {key}), 1, 15)"
+    return f"md5('42:' || {key})"
 
 
 def _each(template: str, features=FEATURES, source: str = "flows") -> str:
@@ -365,6 +365,14 @@ SELECT row_key, {', '.join(f'({e})::FLOAT::DOUBLE AS "{n}"' for n, e in _convert
 ORACLES["zero_clean"] = f"""WITH {FOREIGN}
 SELECT row_key, {', '.join(f'coalesce(({e})::FLOAT::DOUBLE, 0) AS "{n}"' for n, e in _converted().items())} FROM foreign_flows"""
 
+_PICKED = ", ".join(f'coalesce(({_converted()[n]})::FLOAT::DOUBLE, 0) AS "{n}"' for n in ("Rate", "Tot sum", "Magnitue"))
+ORACLES["extend_training"] = f"""WITH {FOREIGN}, labelled AS (
+  SELECT *, CASE "Label" WHEN 'Benign' THEN 0 WHEN 'DoS attacks-Hulk' THEN 1 WHEN 'DDOS attack-HOIC' THEN 2
+    WHEN 'Infilteration' THEN 3 WHEN 'Bot' THEN 6 WHEN 'SQL Injection' THEN 5 END AS class_id FROM foreign_flows),
+placed AS (SELECT *, row_number() OVER (PARTITION BY class_id ORDER BY {_hash()}, row_key) AS place FROM labelled)
+SELECT row_key, class_id, {_PICKED} FROM placed
+WHERE place <= CASE class_id WHEN 0 THEN 5000 WHEN 1 THEN 3000 WHEN 2 THEN 1000000 WHEN 3 THEN 2000 WHEN 6 THEN 200 END"""
+
 # ---- packets ------------------------------------------------------------------------------
 
 PACKETS = """packets AS (

@@ -211,7 +211,7 @@ def train_attack_quota(spark, sf_dir):
 def exact_file_sample(spark, sf_dir):
     rows = proxies.flows(spark, sf_dir).select("row_key", "source_relative_file")
     counts = rows.groupBy("source_relative_file").agg(F.count(F.lit(1)).alias("total_rows"))
-    targets = settle(counts.withColumn("want", F.floor(F.col("total_rows") / 3)), "targets")
+    targets = counts.withColumn("want", F.floor(F.col("total_rows") / 3))
     return sampling.take_exact(rows, targets, ["source_relative_file"])
 
 
@@ -246,7 +246,7 @@ def _class_rows(spark, sf_dir):
 @query
 def stratified_split(spark, sf_dir):
     rows = _class_rows(spark, sf_dir)
-    sizes = settle(sampling.split_sizes(sampling.class_counts(rows, "class_id"), "class_id"), "sizes")
+    sizes = sampling.split_sizes(sampling.class_counts(rows, "class_id"), "class_id")
     return sampling.stratified_split(rows, sizes, "class_id")
 
 
@@ -359,6 +359,18 @@ def zero_clean(spark, sf_dir):
     return _doubles(conversion.prepare_2018(proxies.foreign_flows(spark, sf_dir), ("row_key",)), FEATURES_46)
 
 
+@query
+def extend_training(spark, sf_dir):
+    """Benign flows as the base set, the attack labels of the 2018 vocabulary added and capped."""
+    foreign = proxies.foreign_flows(spark, sf_dir)
+    dim = labels.taxonomy_table(spark)
+    benign = labels.known_rows(foreign.where("Label = 'Benign'"), dim, "extended46", "Label")
+    base = conversion.prepare_2018(benign, ("row_key", "class_id"))
+    caps = {0: 5000, 1: 3000, 2: 1_000_000, 3: 2000, 6: 200}
+    built = jobs.extend_training_set(base, foreign.where("Label <> 'Benign'"), dim, "extended46", caps)
+    return _doubles(built.select("row_key", "class_id", "Rate", named("Tot sum"), "Magnitue"), ["Rate", "Tot sum", "Magnitue"])
+
+
 @query
 def feature_stats(spark, sf_dir):
     return _rounded(cleaning.feature_stats(proxies.flows(spark, sf_dir), FEATURES), ["mean", "std"])
@@ -599,9 +611,8 @@ def split_overlap(spark, sf_dir):
 
 
 def _audited(spark, sf_dir):
-    rows = proxies.flows(spark, sf_dir)
-    split = jobs.balanced_split(rows).rows
-    return settle(jobs.clean_splits(split, FEATURES).rows, "split")
+    split = settle(jobs.balanced_split(proxies.flows(spark, sf_dir)).rows, "split")
+    return jobs.clean_splits(split, FEATURES).rows
 
 
 @query
@@ -693,6 +704,6 @@ def train_and_judge(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, split without leaks, balance: rows of each family per split."""
-    split = jobs.balanced_split(proxies.flows(spark, sf_dir)).rows
+    split = settle(jobs.balanced_split(proxies.flows(spark, sf_dir)).rows, "split")
     prepared = jobs.clean_splits(split, FEATURES)
     return sampling.split_stats(prepared.rows)
