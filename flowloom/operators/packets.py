@@ -247,7 +247,11 @@ def _flow_features(flows: DataFrame, gaps: bool) -> DataFrame:
 
 
 def packets_to_flows(packets: DataFrame, gap_seconds: float, slice_seconds: float = 3600.0) -> DataFrame:
-    """One row per flow with length, direction, flag, rate and inter-arrival features."""
+    """One row per flow with length, direction, flag, rate and inter-arrival features.
+
+    One slice of the busiest pair is sorted in one task: shorten the slice for
+    heavier traffic, any length gives the same flows.
+    """
     gap_us, slice_us = int(gap_seconds * 1_000_000), int(slice_seconds * 1_000_000)
     runs = _runs(with_pair(packets), gap_us, slice_us)
     return _flow_features(_joined_runs(runs, gap_us), gaps=True)

@@ -19,6 +19,7 @@ from flowloom.session import literal_table
 
 HEAD_BYTES = 65_536
 _OVERFLOW = "_beyond_last_column"
+_NOTHING = ("_repeat_0",)
 
 
 def _relative(path: Column, root: str) -> Column:
@@ -132,7 +133,7 @@ def _read_text_columns(
     schema = StructType([StructField(n, StringType()) for n in fields])
     reader = spark.read.schema(schema).option("header", header).option("encoding", encoding)
     df = reader.option("mode", "PERMISSIVE").csv(list(paths))
-    if skip_long:
+    if skip_long and names != _NOTHING:
         df = df.where(F.col(_OVERFLOW).isNull())
     keep = [n for n in names if not n.startswith("_repeat_")]
     return df.select(*[F.col(f"`{n}`") for n in keep], _decoded(F.col("_metadata.file_path")).alias("_path"))
@@ -160,14 +161,18 @@ def read_flow_csv(
     """
     inventory = file_inventory(spark, root, known_headerless)
     columns = list(columns or canonical_columns(inventory))
-    files = inventory.where("first_line <> ''").select("path", "first_line", "known_headerless").collect()
+    heads = inventory.where("first_line <> ''").withColumn("head", F.md5("first_line"))
+    files = heads.select("path", "head", "known_headerless").collect()
+    by_name = heads.where(~F.col("known_headerless")).select("head", "first_line").distinct().collect()
+    names_of = {h.head: tuple(header_names(h.first_line)) for h in by_name}
     odd = {_plain(p) for p in _not_utf8(spark, [f.path for f in files])} if tolerant and files else set()
     variants: dict[tuple, list[str]] = {}
     for f in files:
-        header = not f.known_headerless
-        names = tuple(header_names(f.first_line)) if header else tuple(columns)
+        names = tuple(columns) if f.known_headerless else names_of[f.head]
+        if not set(names) & set(columns):
+            names = _NOTHING  # a first line without any known name: rows of NULLs, as one variant
         encoding = "ISO-8859-1" if _plain(f.path) in odd else "UTF-8"
-        variants.setdefault((names, header, encoding), []).append(f.path)
+        variants.setdefault((names, not f.known_headerless, encoding), []).append(f.path)
     if not variants:
         raise RuntimeError(f"no readable CSV file below {root}")
     parts = []

@@ -307,7 +307,7 @@ ORACLES["fit_fill_median"] = f"""WITH {FLOWS}
 {_each("SELECT '{name}' AS feature, coalesce(median({fin}), 0) AS fill FROM {source}")}
 UNION ALL SELECT 'Idle Mean', 0::DOUBLE"""
 ORACLES["fit_fill_mean"] = f"""WITH {FLOWS}
-{_each("SELECT '{name}' AS feature, round(coalesce(avg({fin}), 0), 6) AS fill FROM {source}")}
+{_each("SELECT '{name}' AS feature, round(coalesce(avg({fin}), 0), 3) AS fill FROM {source}")}
 UNION ALL SELECT 'Idle Mean', 0::DOUBLE"""
 _FILLED = ", ".join(f"coalesce({_fin(q)}, (SELECT median({_fin(q)}) FROM flows)) AS {q}" for q in QUOTED)
 ORACLES["apply_fill"] = f"""WITH {FLOWS}
@@ -317,13 +317,13 @@ ORACLES["residual_missing"] = f"""WITH {FLOWS}
 {_each("SELECT '{name}' AS feature, 0::BIGINT AS inf_count, 0::BIGINT AS nan_count, count(*) AS total_rows FROM {source}")}"""
 _SCALE = "SELECT '{name}' AS feature, avg({fin}) AS mean, CASE WHEN stddev_pop({fin}) = 0 THEN 1 ELSE stddev_pop({fin}) END AS std FROM {source}"
 ORACLES["scaler_fit"] = f"""WITH {FLOWS}, fitted AS ({_each(_SCALE)})
-SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std FROM fitted"""
+SELECT feature, round(mean, 3) AS mean, round(std, 3) AS std FROM fitted"""
 ORACLES["scaler_apply"] = f"""WITH {FLOWS}, fitted AS ({_each(_SCALE)})
 SELECT row_key, {', '.join(f'''round(({_fin(q)} - (SELECT mean FROM fitted WHERE feature = '{f}')) / (SELECT std FROM fitted WHERE feature = '{f}'), 6) AS {q}''' for f, q in zip(FEATURES, QUOTED))} FROM flows"""
 ORACLES["xy_rejoin"] = f"""WITH {FLOWS} SELECT row_key, "Flow Duration", source_class_folder, target_binary FROM flows"""
 ORACLES["constant_features"] = f"""WITH {FLOWS}, n AS ({_each("SELECT '{name}' AS feature, count(DISTINCT {c}) AS k FROM {source}")})
 SELECT feature FROM n WHERE k <= 1"""
-ORACLES["feature_stats"] = f"""WITH {FLOWS}, s AS ({_each("SELECT '{name}' AS feature, min({fin}) AS min, max({fin}) AS max, round(avg({fin}), 6) AS mean, round(stddev_pop({fin}), 6) AS std, count({fin}) AS n FROM {source}")})
+ORACLES["feature_stats"] = f"""WITH {FLOWS}, s AS ({_each("SELECT '{name}' AS feature, min({fin}) AS min, max({fin}) AS max, round(avg({fin}), 3) AS mean, round(stddev_pop({fin}), 3) AS std, count({fin}) AS n FROM {source}")})
 SELECT * FROM s WHERE n > 0"""
 
 

@@ -302,7 +302,7 @@ def fit_fill_median(spark, sf_dir):
 @query
 def fit_fill_mean(spark, sf_dir):
     fills = cleaning.fit_fill(proxies.flows(spark, sf_dir), [*FEATURES, "Idle Mean"], "mean")
-    return _rounded(cleaning.fill_table(spark, fills), ["fill"])
+    return _rounded(cleaning.fill_table(spark, fills), ["fill"], 3)
 
 
 def _cleaned(spark, sf_dir):
@@ -328,7 +328,7 @@ def residual_missing(spark, sf_dir):
 
 @query
 def scaler_fit(spark, sf_dir):
-    return _rounded(cleaning.fit_scaler(proxies.flows(spark, sf_dir), FEATURES), ["mean", "std"])
+    return _rounded(cleaning.fit_scaler(proxies.flows(spark, sf_dir), FEATURES), ["mean", "std"], 3)
 
 
 @query
@@ -373,7 +373,7 @@ def extend_training(spark, sf_dir):
 
 @query
 def feature_stats(spark, sf_dir):
-    return _rounded(cleaning.feature_stats(proxies.flows(spark, sf_dir), FEATURES), ["mean", "std"])
+    return _rounded(cleaning.feature_stats(proxies.flows(spark, sf_dir), FEATURES), ["mean", "std"], 3)
 
 
 # ---- packets -------------------------------------------------------------------
