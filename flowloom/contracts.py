@@ -6,6 +6,8 @@ import json
 from collections.abc import Sequence
 from pathlib import Path
 
+from flowloom.sources.files import exists, read_text
+
 # --------------------------------------------------------------------------
 # Column names of the public flow datasets, label spellings and
 # published settings. They have to match the data and are listed in natural
@@ -172,10 +174,9 @@ def threshold_grid(start: float = 0.05, stop: float = 0.95, step: float = 0.01)
 
 def load_contract(path: str | Path) -> list[str]:
     """Read a feature contract: a JSON list of column names."""
-    path = Path(path)
-    if not path.exists():
+    if not exists(path):
         raise FileNotFoundError(f"no feature contract at {path}")
-    names = json.loads(path.read_text(encoding="utf-8"))
+    names = json.loads(read_text(path))
     if not isinstance(names, list) or any(not isinstance(n, str) for n in names):
         raise ValueError(f"{path} is not a JSON list of column names")
     return names

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowloom.contracts import contract_problems
 from flowloom.operators.cleaning import inf_nan_summary
 from flowloom.session import literal_table
+from flowloom.sources.files import exists
 
 
 class AuditError(RuntimeError):
@@ -58,7 +59,7 @@ def schema_checks(splits: Mapping[str, DataFrame], features: Sequence[str]) -> D
 
 
 def artefact_checks(spark: SparkSession, paths: Mapping[str, str | Path]) -> DataFrame:
-    return known_checks(spark, [(f"exists: {n}", Path(p).exists(), str(p)) for n, p in paths.items()])
+    return known_checks(spark, [(f"exists: {n}", exists(p), str(p)) for n, p in paths.items()])
 
 
 def split_overlap(df: DataFrame, key: str = "source_relative_file") -> DataFrame:

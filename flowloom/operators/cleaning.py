@@ -14,6 +14,7 @@ from flowloom.functions import finite, is_inf, is_missing, named
 from flowloom.operators.quantiles import WIDE, exact_quantiles
 from flowloom.operators.schema import require_columns
 from flowloom.session import literal_table
+from flowloom.sources.files import read_text, write_text
 
 
 def _per_feature(df: DataFrame, features: Sequence[str], measures) -> DataFrame:
@@ -22,6 +23,9 @@ def _per_feature(df: DataFrame, features: Sequence[str], measures) -> DataFrame:
     `measures(column)` gives named aggregates. Every chunk of features is one
     map-side-combined aggregate over its own columns only, turned to rows after.
     """
+    if not features:
+        nothing = df.select(F.lit(None).cast("double").alias("_none"))
+        return _per_feature(nothing, ["_none"], measures).where(F.lit(False))
     tables = []
     for start in range(0, len(features), WIDE):
         part = features[start : start + WIDE]
@@ -174,12 +178,12 @@ def drop_constant(train: DataFrame, features: Sequence[str], *others: DataFrame)
 def save_params(path: str | Path, features: Sequence[str], fills: Mapping[str, float], strategy: str) -> None:
     """Fitted cleaning parameters as JSON, one small file."""
     params = {"nan_strategy": strategy, "fill_values": dict(fills), "feature_count": len(features)}
-    Path(path).write_text(json.dumps({"feature_names": list(features), **params}, indent=2), encoding="utf-8")
+    write_text(path, json.dumps({"feature_names": list(features), **params}, indent=2))
 
 
 def load_params(path: str | Path) -> dict:
     """Read fitted parameters; fill values may stand under either of their two published keys."""
-    raw = json.loads(Path(path).read_text(encoding="utf-8"))
+    raw = json.loads(read_text(path))
     fills = raw.get("fill_values") or raw.get("nan_fill_values")
     if fills is None:
         raise ValueError(f"{path} holds no fill values")

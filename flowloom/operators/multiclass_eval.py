@@ -13,9 +13,10 @@ from flowloom.functions import ratio
 
 
 def confusion_cells(df: DataFrame, classes: int, y: str = "y", pred: str = "pred") -> DataFrame:
-    """All K x K cells, zeros included; one aggregate over the rows."""
+    """All K x K cells, zeros included; one aggregate over the rows. Labels outside 0..K-1 do not count."""
+    known = F.col(y).between(0, classes - 1) & F.col(pred).between(0, classes - 1)
     cell = F.col(y).cast("long") * classes + F.col(pred).cast("long")
-    counts = df.groupBy(cell.alias("id")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.where(known).groupBy(cell.alias("id")).agg(F.count(F.lit(1)).alias("_n"))
     grid = df.sparkSession.range(classes * classes)
     return grid.join(counts, "id", "left").select(
         F.floor(F.col("id") / classes).cast("int").alias("y"),

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 KEY = ["endpoint_a", "endpoint_b", "protocol"]
 FLAGS = ["fin", "syn", "rst", "psh", "ack", "urg", "cwr", "ece"]
 SIDES = (0, 1)
+# Gaps that start a new subflow and that count as idle time, in microseconds.
+SUBFLOW_GAP, IDLE_GAP = 1_000_000, 5_000_000
 _BIG = "decimal(38,0)"
 
 
@@ -25,8 +27,9 @@ def with_pair(packets: DataFrame) -> DataFrame:
     """Order the two endpoints of each packet, so both directions share one key.
 
     Input: src, src_port, dst, dst_port, protocol, ts, length, header_length,
-    packet_id and one 0/1 column per TCP flag.
+    packet_id, one 0/1 column per TCP flag, and window where the capture has it.
     """
+    window = F.col("window") if "window" in packets.columns else F.lit(0)
     source = F.concat_ws(":", "src", "src_port")
     target = F.concat_ws(":", "dst", "dst_port")
     return packets.select(
@@ -37,6 +40,7 @@ def with_pair(packets: DataFrame) -> DataFrame:
         F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
         F.col("length").cast("long").alias("length"),
         F.col("header_length").cast("long").alias("header_length"),
+        window.cast("long").alias("window"),
         *[F.col(f).cast("long").alias(f) for f in FLAGS],
     )
 
@@ -67,6 +71,7 @@ def _side_measures(s: int) -> list[Column]:
         F.min(of("length")).alias(f"lenmin_{s}"),
         F.max(of("length")).alias(f"lenmax_{s}"),
         F.coalesce(F.sum(of("header_length")), F.lit(0)).alias(f"hdr_{s}"),
+        F.min(of("header_length")).alias(f"hdrmin_{s}"),
         F.coalesce(F.sum(of("psh")), F.lit(0)).alias(f"psh_{s}"),
         F.coalesce(F.sum(of("urg")), F.lit(0)).alias(f"urg_{s}"),
         F.min(of("us")).alias(f"first_{s}"),
@@ -83,8 +88,21 @@ def _packet_measures() -> list[Column]:
     ]
 
 
+def _pause_measures(gap: Column) -> list[Column]:
+    """Subflow breaks and idle times among the gaps."""
+    idle = F.when(gap > IDLE_GAP, gap)
+    return [
+        F.count_if(gap > SUBFLOW_GAP).alias("breaks"),
+        F.count(idle).alias("idle_n"),
+        F.coalesce(F.sum(idle), F.lit(0)).alias("idle_sum"),
+        F.coalesce(F.sum(_square(idle)), F.lit(0)).cast(_BIG).alias("idle_sq"),
+        F.min(idle).alias("idle_min"),
+        F.max(idle).alias("idle_max"),
+    ]
+
+
 _SUMMED = [f"{m}_{s}" for s in SIDES for m in ("n", "data", "len", "lensq", "hdr", "psh", "urg")] + FLAGS
-_LOW = [f"{m}_{s}" for s in SIDES for m in ("lenmin", "first")] + ["first_us"]
+_LOW = [f"{m}_{s}" for s in SIDES for m in ("lenmin", "hdrmin", "first")] + ["first_us"]
 _HIGH = [f"{m}_{s}" for s in SIDES for m in ("lenmax", "last")] + ["last_us"]
 _GAPS = ["gap", *[f"gap_{s}" for s in SIDES]]
 
@@ -111,13 +129,17 @@ def _runs(packets: DataFrame, gap_us: int, slice_us: int) -> DataFrame:
     for s in SIDES:
         inside = (F.col("side") == s) & ~F.col("_starts") & (F.col(f"_prev_{s}") >= F.col("_since"))
         gaps[f"gap_{s}"] = F.when(inside, F.col("us") - F.col(f"_prev_{s}"))
+        leads = (F.col("side") == s) & ~F.coalesce(F.col(f"_prev_{s}") >= F.col("_since"), F.lit(False))
+        gaps[f"_win_{s}"] = F.when(leads, F.col("window"))
     return (
         step.withColumns(gaps)
         .groupBy(*cell, "run")
         .agg(
             F.max(F.when(F.col("_starts"), F.col("side"))).alias("opener"),
             *_packet_measures(),
+            *[F.max(f"_win_{s}").alias(f"win_{s}") for s in SIDES],
             *[m for g in _GAPS for m in _gap_sums(F.col(g), g)],
+            *_pause_measures(F.col("gap")),
         )
     )
 
@@ -146,14 +168,27 @@ def _joined_runs(runs: DataFrame, gap_us: int) -> DataFrame:
     for s in SIDES:
         inside = ~F.col("_starts") & (F.col(f"_prev_{s}") >= F.col("_since"))
         bridges[f"bridge_{s}"] = F.when(inside, F.col(f"first_{s}") - F.col(f"_prev_{s}"))
+        leads = (F.col(f"n_{s}") > 0) & ~F.coalesce(F.col(f"_prev_{s}") >= F.col("_since"), F.lit(False))
+        bridges[f"_win_{s}"] = F.when(leads, F.col(f"win_{s}"))
     merged = []
-    for g, b in zip(_GAPS, bridges, strict=True):
+    for g in _GAPS:
+        b = g.replace("gap", "bridge")
         squares = F.coalesce(F.col(f"{g}_sq"), F.lit(0)) + F.coalesce(_square(F.col(b)), F.lit(0))
         merged += [
             F.sum(squares).cast(_BIG).alias(f"{g}_sq"),
             F.least(F.min(f"{g}_min"), F.min(b)).alias(f"{g}_min"),
             F.greatest(F.max(f"{g}_max"), F.max(b)).alias(f"{g}_max"),
         ]
+    idle = F.when(F.col("bridge") > IDLE_GAP, F.col("bridge"))
+    merged += [
+        F.sum(F.col("breaks") + F.coalesce((F.col("bridge") > SUBFLOW_GAP).cast("long"), F.lit(0))).alias("breaks"),
+        F.sum(F.col("idle_n") + idle.isNotNull().cast("long")).alias("idle_n"),
+        F.sum(F.col("idle_sum") + F.coalesce(idle, F.lit(0))).alias("idle_sum"),
+        F.sum(F.col("idle_sq") + F.coalesce(_square(idle), F.lit(0))).cast(_BIG).alias("idle_sq"),
+        F.least(F.min("idle_min"), F.min(idle)).alias("idle_min"),
+        F.greatest(F.max("idle_max"), F.max(idle)).alias("idle_max"),
+        *[F.max(f"_win_{s}").alias(f"win_{s}") for s in SIDES],
+    ]
     return (
         step.withColumns(bridges)
         .groupBy(*lane, "_flow")
@@ -236,13 +271,22 @@ def _flow_features(flows: DataFrame, gaps: bool) -> DataFrame:
         "Average Packet Size": mean,
         "Down/Up Ratio": F.when(side("n", True) > 0, side("n", False) / side("n", True)).otherwise(0.0),
         "Fwd Act Data Pkts": side("data", True),
+        "Fwd Seg Size Min": part(side("hdrmin", True)),
+        "FWD Init Win Bytes": F.coalesce(side("win", True), zero), "Bwd Init Win Bytes": F.coalesce(side("win", False), zero),
         **{f"{f.upper()} Flag Count": F.col(f) for f in FLAGS},
     }
     if gaps:
         out |= {
             "Flow IAT Std": F.sqrt(_deviation(n - 1, duration, F.col("gap_sq"))),
             "Flow IAT Max": part(F.col("gap_max")), "Flow IAT Min": part(F.col("gap_min")),
+            "Idle Mean": F.when(F.col("idle_n") > 0, F.col("idle_sum").cast("double") / F.col("idle_n")).otherwise(0.0),
+            "Idle Std": F.sqrt(_deviation(F.col("idle_n"), F.col("idle_sum"), F.col("idle_sq"))),
+            "Idle Max": part(F.col("idle_max")), "Idle Min": part(F.col("idle_min")),
         }
+        for title, forward in (("Fwd", True), ("Bwd", False)):
+            for what, amount in (("Packets", side("n", forward)), ("Bytes", side("len", forward))):
+                share = F.floor(amount / F.col("breaks"))
+                out[f"Subflow {title} {what}"] = F.when(F.col("breaks") > 0, share).otherwise(0)
     return flows.select(*KEY, *[c.alias(name) for name, c in out.items()])
 
 
@@ -260,6 +304,8 @@ def packets_to_flows(packets: DataFrame, gap_seconds: float, slice_seconds: floa
 def flows_in_session_windows(packets: DataFrame, gap_seconds: int) -> DataFrame:
     """The features that need no packet order, by session window; also runs on a stream."""
     windows = F.session_window(F.col("ts"), f"{gap_seconds} seconds")
-    opener = F.min_by("side", F.struct("us", "packet_id")).alias("opener")
-    merged = with_pair(packets).groupBy(*KEY, windows).agg(opener, *_packet_measures())
+    place = F.struct("us", "packet_id")
+    first = [F.min_by("side", place).alias("opener")]
+    first += [F.min_by("window", F.when(F.col("side") == s, place)).alias(f"win_{s}") for s in SIDES]
+    merged = with_pair(packets).groupBy(*KEY, windows).agg(*first, *_packet_measures())
     return _flow_features(merged, gaps=False)

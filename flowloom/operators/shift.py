@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowloom.contracts import KEY_FEATURES
 from flowloom.operators.quantiles import exact_quantiles
 from flowloom.session import literal_table
+from flowloom.sources.files import exists, read_text
 
 _SHIFT_SCHEMA = "feature string, base_median double, other_median double, ratio double, base_p95 double, other_p95 double"
 
@@ -43,9 +44,8 @@ def top_features(importance: DataFrame, n: int = 15) -> DataFrame:
 
 def load_top_features(path: str | Path, n: int = 15) -> list[str]:
     """Most important features from a small JSON file in either published shape; key features if there is none."""
-    path = Path(path)
-    if not path.exists():
+    if not exists(path):
         return KEY_FEATURES[:n]
-    raw = json.loads(path.read_text(encoding="utf-8"))
+    raw = json.loads(read_text(path))
     pairs = zip(raw["Feature"], raw["Importance"]) if "Feature" in raw else raw.items()
     return [f for f, _ in sorted(pairs, key=lambda x: -x[1])[:n]]

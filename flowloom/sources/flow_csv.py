@@ -5,10 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from urllib.parse import quote
 
 import pandas as pd
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -16,6 +14,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from flowloom.contracts import HEADER_PREFIX, KNOWN_HEADERLESS
 from flowloom.operators.schema import align, drop_identity, stamp, to_numeric
 from flowloom.session import literal_table
+from flowloom.sources.files import locate, plain
 
 HEAD_BYTES = 65_536
 _OVERFLOW = "_beyond_last_column"
@@ -31,10 +30,6 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def _plain(path: str) -> str:
-    return re.sub(r"^file:/+", "/", path)
-
-
 def lineage(root: str, path: Column) -> dict[str, Column]:
     """Relative path, file name and top folder (= class) of a source path."""
     relative = _relative(path, root)
@@ -53,19 +48,12 @@ def list_csv(spark: SparkSession, root: str) -> DataFrame:
     return encoded.select(_decoded(F.col("encoded")).alias("path")).withColumns(lineage(root, F.col("path")))
 
 
-def _open_file(uri: str) -> tuple[pafs.FileSystem, str]:
-    local = _plain(uri)
-    if "://" in local:
-        return pafs.FileSystem.from_uri(quote(local, safe=":/@=?&"))
-    return pafs.LocalFileSystem(), local
-
-
 def _heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Size and first line of each listed file; reads no further than the first line break."""
     for files in batches:
         sizes, lines = [], []
         for uri in files["path"]:
-            system, path = _open_file(uri)
+            system, path = locate(uri)
             sizes.append(system.get_file_info(path).size)
             with system.open_input_stream(path) as stream:
                 head = b""
@@ -165,13 +153,13 @@ def read_flow_csv(
     files = heads.select("path", "head", "known_headerless").collect()
     by_name = heads.where(~F.col("known_headerless")).select("head", "first_line").distinct().collect()
     names_of = {h.head: tuple(header_names(h.first_line)) for h in by_name}
-    odd = {_plain(p) for p in _not_utf8(spark, [f.path for f in files])} if tolerant and files else set()
+    odd = {plain(p) for p in _not_utf8(spark, [f.path for f in files])} if tolerant and files else set()
     variants: dict[tuple, list[str]] = {}
     for f in files:
         names = tuple(columns) if f.known_headerless else names_of[f.head]
         if not set(names) & set(columns):
             names = _NOTHING  # a first line without any known name: rows of NULLs, as one variant
-        encoding = "ISO-8859-1" if _plain(f.path) in odd else "UTF-8"
+        encoding = "ISO-8859-1" if plain(f.path) in odd else "UTF-8"
         variants.setdefault((names, not f.known_headerless, encoding), []).append(f.path)
     if not variants:
         raise RuntimeError(f"no readable CSV file below {root}")

@@ -22,6 +22,7 @@ def dirty(spark):
 def test_report_counts_inf_and_missing_apart(dirty):
     got = {r.feature: (r.inf_count, r.nan_count, r.nan_pct) for r in cleaning.inf_nan_report(dirty, ["x", "Flow Bytes/s", "gone"]).collect()}
     assert got == {"x": (0, 2, 40.0), "Flow Bytes/s": (2, 1, 20.0)}
+    assert cleaning.inf_nan_report(dirty, ["gone"]).isEmpty()
     total = cleaning.inf_nan_summary(dirty, ["x", "Flow Bytes/s"]).first()
     assert (total.total_rows, total.total_inf_cells, total.total_nan_cells, total.columns_affected_inf) == (5, 2, 3, 1)
 

@@ -108,6 +108,8 @@ def test_macro_average_covers_seen_labels_only(spark):
     labels = multiclass_eval.summary(multiclass_eval.per_class(multiclass_eval.confusion_cells(stray, 8))).first()
     assert labels.label_count == 3 and labels.macro_f1 == pytest.approx(1 / 3)
     assert classes.count() == 8
+    outside = multiclass_eval.confusion_cells(spark.createDataFrame([(0, 9), (0, 0), (None, 1)], "y int, pred int"), 8)
+    assert outside.agg(F.sum("n")).first()[0] == 1
     report = {r.row: r.support for r in multiclass_eval.class_report(classes).collect()}
     assert report["macro avg"] == 4 and set(report) == {"Benign", "DoS", "DDoS", "accuracy", "macro avg", "weighted avg"}
 
@@ -142,6 +144,13 @@ def test_cascade_and_alerts(spark):
     assert rows[0] == (0.69, 0, "BENIGN") and rows[1] == (0.7, 1, "ATTACK")
 
 
+def test_artefacts_are_looked_up_by_path_or_uri(spark, tmp_path):
+    (tmp_path / "a file.json").write_text("{}")
+    paths = {"plain": tmp_path / "a file.json", "uri": f"file://{tmp_path}/a file.json", "none": tmp_path / "x"}
+    got = {r.check: r.status for r in audit.artefact_checks(spark, paths).collect()}
+    assert got == {"exists: plain": "PASS", "exists: uri": "PASS", "exists: none": "FAIL"}
+
+
 def test_audit_finds_problems(spark):
     rows = [("train", "f", "Bot", 1), ("val", "f", "Bot", 1), ("train", "g", "Benign", 0), ("test", "h", "Benign", 0)]
     df = spark.createDataFrame(rows, "split string, source_relative_file string, source_class_folder string, target_binary int")

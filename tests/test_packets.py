@@ -12,7 +12,7 @@ from flowloom.streaming.live import run_available, stream_flows
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 SCHEMA = (
     "src string, src_port int, dst string, dst_port int, protocol int, ts timestamp, length long, header_length long, "
-    "packet_id long, " + ", ".join(f"{f} int" for f in FLAGS)
+    "packet_id long, window int, " + ", ".join(f"{f} int" for f in FLAGS)
 )
 
 
@@ -27,7 +27,7 @@ def make(n, seed, pairs=3):
         if rng.random() < 0.5:
             ends.reverse()
         flags = [int(rng.random() < 0.3) for _ in FLAGS]
-        rows.append((*ends[0], *ends[1], 6, START + timedelta(seconds=clock), rng.choice([0, 40, 1500]), 20, i, *flags))
+        rows.append((*ends[0], *ends[1], 6, START + timedelta(seconds=clock), rng.choice([0, 40, 1500]), 20 + i % 5, i, i % 9, *flags))
     return rows
 
 
@@ -51,6 +51,8 @@ def brute(rows, gap):
             f_us, f_len = [u for u, f in zip(us, fwd) if f], [r[6] for r, f in zip(run, fwd) if f]
             gaps, f_gaps = [b - a for a, b in zip(us, us[1:])], [b - a for a, b in zip(f_us, f_us[1:])]
 
+            idle, breaks = [g for g in gaps if g > 5_000_000], sum(g > 1_000_000 for g in gaps)
+
             def sd(x):
                 return statistics.stdev(x) if len(x) > 1 else 0.0
 
@@ -59,8 +61,13 @@ def brute(rows, gap):
                 "Total Length of Fwd Packet": sum(f_len), "Fwd Packet Length Max": max(f_len), "Fwd Packet Length Std": sd(f_len),
                 "Packet Length Std": sd([r[6] for r in run]), "Flow IAT Std": sd(gaps), "Flow IAT Max": max(gaps, default=0),
                 "Flow IAT Min": min(gaps, default=0), "Fwd IAT Std": sd(f_gaps), "Fwd IAT Max": max(f_gaps, default=0),
-                "Fwd IAT Min": min(f_gaps, default=0), "Fwd IAT Total": sum(f_gaps), "SYN Flag Count": sum(r[10] for r in run),
-                "Fwd PSH Flags": sum(r[12] for r, f in zip(run, fwd) if f), "Fwd Act Data Pkts": sum(x > 0 for x in f_len),
+                "Fwd IAT Min": min(f_gaps, default=0), "Fwd IAT Total": sum(f_gaps), "SYN Flag Count": sum(r[11] for r in run),
+                "Fwd PSH Flags": sum(r[13] for r, f in zip(run, fwd) if f), "Fwd Act Data Pkts": sum(x > 0 for x in f_len),
+                "Fwd Seg Size Min": min(r[7] for r, f in zip(run, fwd) if f), "FWD Init Win Bytes": run[0][9],
+                "Bwd Init Win Bytes": next((r[9] for r, f in zip(run, fwd) if not f), 0),
+                "Idle Mean": statistics.fmean(idle) if idle else 0.0, "Idle Std": sd(idle), "Idle Max": max(idle, default=0),
+                "Idle Min": min(idle, default=0), "Subflow Fwd Bytes": sum(f_len) // breaks if breaks else 0,
+                "Subflow Bwd Packets": (len(us) - len(f_us)) // breaks if breaks else 0,
             }
     return out
 
@@ -81,7 +88,7 @@ def test_flows_match_a_plain_walk_for_any_slice(spark, slice_seconds):
 
 def test_gap_of_exactly_the_limit_stays_one_flow(spark):
     base = ("a", 1, "b", 2, 6)
-    tail = (10, 20, 0, *[0] * 8)
+    tail = (10, 20, 0, 0, *[0] * 8)
     rows = [(*base, START + timedelta(seconds=s), *tail) for s in (0, 10, 21)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert packets_to_flows(df, 10, 4).count() == 2

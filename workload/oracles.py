@@ -376,7 +376,7 @@ WHERE place <= CASE class_id WHEN 0 THEN 5000 WHEN 1 THEN 3000 WHEN 2 THEN 10000
 # ---- packets ------------------------------------------------------------------------------
 
 PACKETS = """packets AS (
-  SELECT event_id, user_id, epoch_us(ts) AS us, CAST(round(value * 100) AS BIGINT) AS len, 20 + event_id % 3 * 4 AS hdr,
+  SELECT event_id, user_id, epoch_us(ts) AS us, CAST(round(value * 100) AS BIGINT) AS len, 20 + event_id % 3 * 4 AS hdr, event_id % 7 * 1000 AS win,
     CASE WHEN event_type IN ('click', 'view') THEN 'out' ELSE 'in' END AS side, event_type AS kind FROM events),
 opened AS (SELECT *, CASE WHEN us - lag(us) OVER w > 1800000000 OR lag(us) OVER w IS NULL THEN 1 ELSE 0 END AS opens
   FROM packets WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)),
@@ -394,6 +394,7 @@ def _packet_columns(gaps: bool) -> str:
     n, size = "count(*)", "sum(len)::HUGEINT"
     squares = "sum(len::HUGEINT * len)"
     took = "(max(us) - min(us))"
+    idle, breaks = "FILTER (gap > 5000000)", "(count(*) FILTER (gap > 1000000))"
 
     def per_second(amount):
         return f"CASE WHEN {took} > 0 THEN ({amount})::DOUBLE * 1e6 / {took} WHEN {amount} > 0 THEN 'inf'::DOUBLE END"
@@ -407,7 +408,9 @@ def _packet_columns(gaps: bool) -> str:
         "Packet Length Variance": f"round({_sd(n, size, squares)}, 3)",
         "Packet Length Std": f"round(sqrt({_sd(n, size, squares)}), 3)",
         "Down/Up Ratio": f"round(count(*) FILTER (NOT fwd) / (count(*) FILTER (fwd))::DOUBLE, 3)",
-        "Fwd Act Data Pkts": "count(*) FILTER (fwd AND len > 0)",
+        "Fwd Act Data Pkts": "count(*) FILTER (fwd AND len > 0)", "Fwd Seg Size Min": "(min(hdr) FILTER (fwd))::DOUBLE",
+        "FWD Init Win Bytes": "coalesce(first(win ORDER BY us, event_id) FILTER (fwd), 0)",
+        "Bwd Init Win Bytes": "coalesce(first(win ORDER BY us, event_id) FILTER (NOT fwd), 0)",
         "FIN Flag Count": "count(*) FILTER (kind = 'error')", "SYN Flag Count": "count(*) FILTER (kind = 'signup')",
         "RST Flag Count": "0::BIGINT", "PSH Flag Count": "count(*) FILTER (kind = 'purchase')",
         "ACK Flag Count": "count(*) FILTER (kind = 'view')", "URG Flag Count": "count(*) FILTER (kind = 'click')",
@@ -417,7 +420,13 @@ def _packet_columns(gaps: bool) -> str:
         out |= {
             "Flow IAT Std": f"round(sqrt({_sd('(count(*) - 1)', took, 'sum(gap::HUGEINT * gap)')}), 3)",
             "Flow IAT Max": "coalesce(max(gap), 0)::DOUBLE", "Flow IAT Min": "coalesce(min(gap), 0)::DOUBLE",
+            "Idle Mean": f"round(coalesce(avg(gap) {idle}, 0), 3)", "Idle Std": f"round(coalesce(stddev_samp(gap) {idle}, 0), 3)",
+            "Idle Max": f"coalesce(max(gap) {idle}, 0)::DOUBLE", "Idle Min": f"coalesce(min(gap) {idle}, 0)::DOUBLE",
         }
+        for title, is_fwd in (("Fwd", "fwd"), ("Bwd", "NOT fwd")):
+            for what, amount in (("Packets", "count(*)"), ("Bytes", "sum(len)")):
+                out[f"Subflow {title} {what}"] = f"""CASE WHEN {breaks} > 0
+                  THEN coalesce({amount} FILTER ({is_fwd}), 0) // {breaks} ELSE 0 END::BIGINT"""
     for title, is_fwd in (("Fwd", "fwd"), ("Bwd", "NOT fwd")):
         only = f"FILTER ({is_fwd})"
         k, total = f"count(*) {only}", f"coalesce(sum(len) {only}, 0)::HUGEINT"

@@ -186,6 +186,7 @@ def packets(events: DataFrame) -> DataFrame:
         F.lit(6).alias("protocol"), F.col("ts").cast("timestamp").alias("ts"),
         F.round(F.col("value") * 100).cast("long").alias("length"),
         (F.lit(20) + F.col("event_id") % 3 * 4).alias("header_length"),
+        (F.col("event_id") % 7 * 1000).alias("window"),
         F.col("event_id").alias("packet_id"),
         *[c.cast("int").alias(f) for f, c in flags.items()],
     )
