@@ -88,16 +88,40 @@ def _packet_measures() -> list[Column]:
     ]
 
 
+def _spread(value: Column, name: str) -> list[Column]:
+    """Count, sum, squares and ends of the positive values."""
+    v = F.when(value > 0, value)
+    return [
+        F.count(v).alias(f"{name}_n"),
+        F.coalesce(F.sum(v), F.lit(0)).alias(f"{name}_sum"),
+        F.coalesce(F.sum(_square(v)), F.lit(0)).cast(_BIG).alias(f"{name}_sq"),
+        F.min(v).alias(f"{name}_min"),
+        F.max(v).alias(f"{name}_max"),
+    ]
+
+
 def _pause_measures(gap: Column) -> list[Column]:
     """Subflow breaks and idle times among the gaps."""
-    idle = F.when(gap > IDLE_GAP, gap)
+    breaks = F.count_if(gap > SUBFLOW_GAP).alias("breaks")
+    return [breaks, *_spread(F.when(gap > IDLE_GAP, gap), "idle")]
+
+
+def _merged_spread(name: str, extra: list[Column]) -> list[Column]:
+    """Merge partial spreads with further single values of each row."""
+    more = [F.when(v > 0, v) for v in extra]
+    one, none = F.lit(1), F.lit(0)
+
+    def plus(base, piece):
+        for v in more:
+            base = base + F.coalesce(piece(v), none)
+        return F.sum(base)
+
     return [
-        F.count_if(gap > SUBFLOW_GAP).alias("breaks"),
-        F.count(idle).alias("idle_n"),
-        F.coalesce(F.sum(idle), F.lit(0)).alias("idle_sum"),
-        F.coalesce(F.sum(_square(idle)), F.lit(0)).cast(_BIG).alias("idle_sq"),
-        F.min(idle).alias("idle_min"),
-        F.max(idle).alias("idle_max"),
+        plus(F.col(f"{name}_n"), lambda v: F.when(v.isNotNull(), one)).alias(f"{name}_n"),
+        plus(F.col(f"{name}_sum"), lambda v: v).alias(f"{name}_sum"),
+        plus(F.col(f"{name}_sq"), _square).cast(_BIG).alias(f"{name}_sq"),
+        F.least(F.min(f"{name}_min"), *[F.min(v) for v in more]).alias(f"{name}_min"),
+        F.greatest(F.max(f"{name}_max"), *[F.max(v) for v in more]).alias(f"{name}_max"),
     ]
 
 
@@ -131,15 +155,23 @@ def _runs(packets: DataFrame, gap_us: int, slice_us: int) -> DataFrame:
         gaps[f"gap_{s}"] = F.when(inside, F.col("us") - F.col(f"_prev_{s}"))
         leads = (F.col("side") == s) & ~F.coalesce(F.col(f"_prev_{s}") >= F.col("_since"), F.lit(False))
         gaps[f"_win_{s}"] = F.when(leads, F.col("window"))
+    # An active phase ends where an idle gap follows; its first and last phase may reach into other slices.
+    opens = F.col("_starts") | (F.col("us") - F.col("_prev") > IDLE_GAP)
+    step = step.withColumn("_phase", F.max(F.when(opens, F.col("us"))).over(so_far))
+    step = step.withColumn("_phase_before", F.lag("_phase").over(order)).withColumns(gaps)
+    idle_before = F.col("gap") > IDLE_GAP
+    whole_phase = F.when(idle_before & (F.col("_phase_before") > F.col("_since")), F.col("_prev") - F.col("_phase_before"))
     return (
-        step.withColumns(gaps)
-        .groupBy(*cell, "run")
+        step.groupBy(*cell, "run")
         .agg(
             F.max(F.when(F.col("_starts"), F.col("side"))).alias("opener"),
             *_packet_measures(),
             *[F.max(f"_win_{s}").alias(f"win_{s}") for s in SIDES],
             *[m for g in _GAPS for m in _gap_sums(F.col(g), g)],
             *_pause_measures(F.col("gap")),
+            *_spread(whole_phase, "active"),
+            F.min(F.when(idle_before, F.col("_prev"))).alias("head_end"),
+            F.max("_phase").alias("tail_start"),
         )
     )
 
@@ -179,19 +211,25 @@ def _joined_runs(runs: DataFrame, gap_us: int) -> DataFrame:
             F.least(F.min(f"{g}_min"), F.min(b)).alias(f"{g}_min"),
             F.greatest(F.max(f"{g}_max"), F.max(b)).alias(f"{g}_max"),
         ]
-    idle = F.when(F.col("bridge") > IDLE_GAP, F.col("bridge"))
+    step = step.withColumns(bridges)
+    apart = F.col("_starts") | (F.col("bridge") > IDLE_GAP)
+    broken = F.col("idle_n") > 0
+    opened = F.when(broken, F.col("tail_start")).when(apart, F.col("first_us"))
+    step = step.withColumns(
+        {"_open": F.last(opened, True).over(so_far), "_open_before": F.last(opened, True).over(before)}
+    )
+    closed_by_bridge = F.when(F.col("bridge") > IDLE_GAP, F.col("_prev") - F.col("_open_before"))
+    head_start = F.when(apart, F.col("first_us")).otherwise(F.col("_open_before"))
+    closed_inside = F.when(broken, F.col("head_end") - head_start)
     merged += [
         F.sum(F.col("breaks") + F.coalesce((F.col("bridge") > SUBFLOW_GAP).cast("long"), F.lit(0))).alias("breaks"),
-        F.sum(F.col("idle_n") + idle.isNotNull().cast("long")).alias("idle_n"),
-        F.sum(F.col("idle_sum") + F.coalesce(idle, F.lit(0))).alias("idle_sum"),
-        F.sum(F.col("idle_sq") + F.coalesce(_square(idle), F.lit(0))).cast(_BIG).alias("idle_sq"),
-        F.least(F.min("idle_min"), F.min(idle)).alias("idle_min"),
-        F.greatest(F.max("idle_max"), F.max(idle)).alias("idle_max"),
+        *_merged_spread("idle", [F.when(F.col("bridge") > IDLE_GAP, F.col("bridge"))]),
+        *_merged_spread("active", [closed_by_bridge, closed_inside]),
+        F.max("_open").alias("tail_start"),
         *[F.max(f"_win_{s}").alias(f"win_{s}") for s in SIDES],
     ]
     return (
-        step.withColumns(bridges)
-        .groupBy(*lane, "_flow")
+        step.groupBy(*lane, "_flow")
         .agg(
             F.max(F.when(F.col("_starts"), F.col("opener"))).alias("opener"),
             *[F.sum(c).alias(c) for c in _SUMMED],
@@ -236,7 +274,7 @@ def _flow_features(flows: DataFrame, gaps: bool) -> DataFrame:
         return F.coalesce(x, zero).cast("double")
 
     out = {
-        "flow_start": F.timestamp_micros("first_us"),
+        "flow_start": F.timestamp_micros("first_us"), "Protocol": F.col("protocol"),
         "Flow Duration": duration,
         "Total Fwd Packet": side("n", True), "Total Bwd packets": side("n", False),
         "Total Length of Fwd Packet": side("len", True), "Total Length of Bwd Packet": side("len", False),
@@ -279,15 +317,29 @@ def _flow_features(flows: DataFrame, gaps: bool) -> DataFrame:
         out |= {
             "Flow IAT Std": F.sqrt(_deviation(n - 1, duration, F.col("gap_sq"))),
             "Flow IAT Max": part(F.col("gap_max")), "Flow IAT Min": part(F.col("gap_min")),
-            "Idle Mean": F.when(F.col("idle_n") > 0, F.col("idle_sum").cast("double") / F.col("idle_n")).otherwise(0.0),
-            "Idle Std": F.sqrt(_deviation(F.col("idle_n"), F.col("idle_sum"), F.col("idle_sq"))),
-            "Idle Max": part(F.col("idle_max")), "Idle Min": part(F.col("idle_min")),
         }
+        tail = F.col("last_us") - F.col("tail_start")
+        last_phase = F.when(tail > 0, tail)
+        spreads = {
+            "Idle": [F.col(f"idle_{m}") for m in ("n", "sum", "sq", "min", "max")],
+            "Active": [
+                F.col("active_n") + last_phase.isNotNull().cast("long"),
+                F.col("active_sum") + F.coalesce(last_phase, zero),
+                F.col("active_sq") + F.coalesce(_square(last_phase), zero),
+                F.least("active_min", last_phase), F.greatest("active_max", last_phase),
+            ],
+        }
+        for title, (count, total, sq, low, high) in spreads.items():
+            out |= {
+                f"{title} Mean": F.when(count > 0, total.cast("double") / count).otherwise(0.0),
+                f"{title} Std": F.sqrt(_deviation(count, total, sq)),
+                f"{title} Max": part(high), f"{title} Min": part(low),
+            }
         for title, forward in (("Fwd", True), ("Bwd", False)):
             for what, amount in (("Packets", side("n", forward)), ("Bytes", side("len", forward))):
                 share = F.floor(amount / F.col("breaks"))
                 out[f"Subflow {title} {what}"] = F.when(F.col("breaks") > 0, share).otherwise(0)
-    return flows.select(*KEY, *[c.alias(name) for name, c in out.items()])
+    return flows.select("endpoint_a", "endpoint_b", *[c.alias(name) for name, c in out.items()])
 
 
 def packets_to_flows(packets: DataFrame, gap_seconds: float, slice_seconds: float = 3600.0) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from flowloom.contracts import FEATURES_71
 from flowloom.operators.packets import FLAGS, flows_in_session_windows, packets_to_flows
 from flowloom.streaming.live import run_available, stream_flows
 
@@ -53,6 +54,13 @@ def brute(rows, gap):
 
             idle, breaks = [g for g in gaps if g > 5_000_000], sum(g > 1_000_000 for g in gaps)
 
+            phases = [[us[0], us[0]]]
+            for u, g in zip(us[1:], gaps):
+                if g > 5_000_000:
+                    phases.append([u, u])
+                phases[-1][1] = u
+            active = [b - a for a, b in phases if b > a]
+
             def sd(x):
                 return statistics.stdev(x) if len(x) > 1 else 0.0
 
@@ -65,6 +73,8 @@ def brute(rows, gap):
                 "Fwd PSH Flags": sum(r[13] for r, f in zip(run, fwd) if f), "Fwd Act Data Pkts": sum(x > 0 for x in f_len),
                 "Fwd Seg Size Min": min(r[7] for r, f in zip(run, fwd) if f), "FWD Init Win Bytes": run[0][9],
                 "Bwd Init Win Bytes": next((r[9] for r, f in zip(run, fwd) if not f), 0),
+                "Active Mean": statistics.fmean(active) if active else 0.0, "Active Std": sd(active),
+                "Active Max": max(active, default=0), "Active Min": min(active, default=0),
                 "Idle Mean": statistics.fmean(idle) if idle else 0.0, "Idle Std": sd(idle), "Idle Max": max(idle, default=0),
                 "Idle Min": min(idle, default=0), "Subflow Fwd Bytes": sum(f_len) // breaks if breaks else 0,
                 "Subflow Bwd Packets": (len(us) - len(f_us)) // breaks if breaks else 0,
@@ -81,6 +91,7 @@ def test_flows_match_a_plain_walk_for_any_slice(spark, slice_seconds):
     got = {(r["endpoint_a"], r["_us"] - start_us): r for r in
            packets_to_flows(df, 30, slice_seconds).withColumn("_us", F.unix_micros("flow_start")).collect()}
     assert set(got) == set(expected)
+    assert not set(FEATURES_71) - set(next(iter(got.values())).asDict())
     for key, cells in expected.items():
         for name, value in cells.items():
             assert math.isclose(got[key][name], value, rel_tol=1e-9, abs_tol=1e-6), (key, name, got[key][name], value)

@@ -383,7 +383,11 @@ opened AS (SELECT *, CASE WHEN us - lag(us) OVER w > 1800000000 OR lag(us) OVER
 flowed AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY us, event_id) AS flow FROM opened),
 faced AS (SELECT *, side = first_value(side) OVER w AS fwd, us - lag(us) OVER w AS gap FROM flowed
   WINDOW w AS (PARTITION BY user_id, flow ORDER BY us, event_id)),
-gapped AS (SELECT *, us - lag(us) OVER (PARTITION BY user_id, flow, fwd ORDER BY us, event_id) AS side_gap FROM faced)"""
+gapped AS (SELECT *, us - lag(us) OVER (PARTITION BY user_id, flow, fwd ORDER BY us, event_id) AS side_gap,
+  count(*) FILTER (gap > 5000000) OVER (PARTITION BY user_id, flow ORDER BY us, event_id) AS phase FROM faced),
+active AS (SELECT user_id, flow, avg(took) AS a_mean, stddev_samp(took) AS a_std, max(took) AS a_max, min(took) AS a_min
+  FROM (SELECT user_id, flow, max(us) - min(us) AS took FROM gapped GROUP BY user_id, flow, phase) WHERE took > 0 GROUP BY 1, 2),
+whole AS (SELECT * FROM gapped LEFT JOIN active USING (user_id, flow))"""
 
 
 def _sd(n: str, total: str, squares: str) -> str:
@@ -421,6 +425,8 @@ def _packet_columns(gaps: bool) -> str:
             "Flow IAT Std": f"round(sqrt({_sd('(count(*) - 1)', took, 'sum(gap::HUGEINT * gap)')}), 3)",
             "Flow IAT Max": "coalesce(max(gap), 0)::DOUBLE", "Flow IAT Min": "coalesce(min(gap), 0)::DOUBLE",
             "Idle Mean": f"round(coalesce(avg(gap) {idle}, 0), 3)", "Idle Std": f"round(coalesce(stddev_samp(gap) {idle}, 0), 3)",
+            "Active Mean": "round(coalesce(any_value(a_mean), 0), 3)", "Active Std": "round(coalesce(any_value(a_std), 0), 3)",
+            "Active Max": "coalesce(any_value(a_max), 0)::DOUBLE", "Active Min": "coalesce(any_value(a_min), 0)::DOUBLE",
             "Idle Max": f"coalesce(max(gap) {idle}, 0)::DOUBLE", "Idle Min": f"coalesce(min(gap) {idle}, 0)::DOUBLE",
         }
         for title, is_fwd in (("Fwd", "fwd"), ("Bwd", "NOT fwd")):
@@ -456,13 +462,13 @@ def _packet_columns(gaps: bool) -> str:
         "Total Length of Fwd Packet": "coalesce(sum(len) FILTER (fwd), 0)::BIGINT",
         "Total Length of Bwd Packet": "coalesce(sum(len) FILTER (NOT fwd), 0)::BIGINT",
     }
-    ends = "'s:443' AS endpoint_a, 'u' || user_id || ':1000' AS endpoint_b, 6 AS protocol"
+    ends = "'s:443' AS endpoint_a, 'u' || user_id || ':1000' AS endpoint_b, 6 AS \"Protocol\""
     return ends + ", " + ", ".join(f'{e} AS "{name}"' for name, e in out.items())
 
 
-ORACLES["packets_to_flows"] = f"WITH {PACKETS} SELECT {_packet_columns(True)} FROM gapped GROUP BY user_id, flow"
+ORACLES["packets_to_flows"] = f"WITH {PACKETS} SELECT {_packet_columns(True)} FROM whole GROUP BY user_id, flow"
 ORACLES["packets_to_flows_stream"] = f"""WITH {PACKETS}
-SELECT {_packet_columns(False)} FROM gapped GROUP BY user_id, flow
+SELECT {_packet_columns(False)} FROM whole GROUP BY user_id, flow
 HAVING max(us) + 1800000000 <= (SELECT max(us) - 600000000 FROM packets)"""
 
 # ---- decisions -----------------------------------------------------------------------------

@@ -388,7 +388,7 @@ _REAL = [
 @query
 def packets_to_flows(spark, sf_dir):
     found = packets.packets_to_flows(proxies.event_packets(spark, sf_dir), GAP_SECONDS)
-    rounded = _rounded(found, [*_REAL, "Flow IAT Std", "Fwd IAT Std", "Bwd IAT Std", "Idle Mean", "Idle Std"], 3)
+    rounded = _rounded(found, [*_REAL, "Flow IAT Std", "Fwd IAT Std", "Bwd IAT Std", "Idle Mean", "Idle Std", "Active Mean", "Active Std"], 3)
     return rounded.withColumn("flow_start", F.unix_micros("flow_start"))
 
 
