@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.llm import bpe, common, token_counts
+from flowloom.llm import bpe, common, page_text, token_counts, url_filter
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +30,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(common.table(spark, sf_dir, "documents"), common.tokenizer_file())
+
+
+@register("op3_url_filter")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(common.table(spark, sf_dir, "pages"))
+
+
+@register("op7_page_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_text(common.table(spark, sf_dir, "pages"))
