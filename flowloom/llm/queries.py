@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, common, page_text, token_counts, url_filter
+from flowloom.llm import bpe, chat_format, common, page_text, token_counts, topk_join, url_filter
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +41,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_page_text")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract_text(common.table(spark, sf_dir, "pages"))
+
+
+@register("op9_topk_join", topk_join.ORACLE)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_join.top_k(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op10_chat_format", chat_format.ORACLE)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(common.table(spark, sf_dir, "conversations"))
