@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat_format, common, page_text, token_counts, topk_join, url_filter
+from flowloom.llm import bpe, chat_format, common, language_id, page_text, token_counts, topk_join, toxicity, url_filter
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_chat_format", chat_format.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_chats(common.table(spark, sf_dir, "conversations"))
+
+
+@register("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return toxicity.score_texts(docs, toxicity.learn(docs, common.table(spark, sf_dir, "labels")))
+
+
+@register("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return language_id.predict_languages(docs, language_id.learn(docs))
