@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat_format, common, language_id, page_text, token_counts, topk_join, toxicity, url_filter
+from flowloom.llm import (
+    bpe,
+    chat_format,
+    common,
+    decontaminate,
+    language_id,
+    page_text,
+    token_counts,
+    topk_join,
+    toxicity,
+    url_filter,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +74,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return language_id.predict_languages(docs, language_id.learn(docs))
+
+
+@register("op4_decontaminate")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
