@@ -165,16 +165,18 @@ class BacktrackingBPE:
         ends = np.cumsum(sizes)
         return self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])].tobytes()
 
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Tokens, hash of the ids and hash of the decoded text, one stretch at a time."""
-        ids_hash, text_hash, total = hashlib.sha256(), hashlib.sha256(), 0
+    def digest(self, text: str | None, keep: bool = False) -> tuple[int, str, str, np.ndarray]:
+        """Tokens, hash of the ids and hash of the decoded text, one stretch at a time; with `keep` also the ids."""
+        ids_hash, text_hash, total, kept = hashlib.sha256(), hashlib.sha256(), 0, [np.zeros(0, np.int32)]
         for words, joined in self.encode_slices(text or ""):
             ids = np.fromiter(chain.from_iterable(words), np.int64)
             ids_hash.update(("," + joined if total else joined).encode())
             total += len(ids)
+            if keep:
+                kept.append(ids.astype(np.int32))
             # stretches of a text end between characters, so each decodes to valid UTF-8
             text_hash.update(self.decode_bytes(ids).decode("utf-8", "replace").encode())
-        return total, ids_hash.hexdigest(), text_hash.hexdigest()
+        return total, ids_hash.hexdigest(), text_hash.hexdigest(), np.concatenate(kept)
 
 
 def _is_latin(text: str) -> bool:
@@ -204,13 +206,13 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         bpe = coder(tokenizer_path)
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
-            n, ids_hash, text_hash = zip(*map(bpe.digest, texts)) if texts else ((), (), ())
+            n, ids_hash, text_hash, ids = zip(*[bpe.digest(t, keep_ids or keep_text) for t in texts]) if texts else ((), (), (), ())
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
-            ids = [bpe.encode(t or "") for t in texts] if keep_ids or keep_text else []
             if keep_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
+                offsets = np.append(0, np.cumsum(n)).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))))
             if keep_text:
-                columns.append(pa.array([bpe.decode_bytes(np.array(i, np.int64)).decode("utf-8", "replace") for i in ids], pa.string()))
+                columns.append(pa.array([bpe.decode_bytes(i).decode("utf-8", "replace") for i in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

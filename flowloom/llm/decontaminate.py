@@ -112,3 +112,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     named = best.join(texts.select("key", "id"), "key").join(items.select(F.col("item_key").alias("item"), F.col("item").alias("item_id")), "item")
     return named.groupBy(F.col("id").alias(id_col), F.col("item_id").alias(item_col)).agg(
         F.max_by("best", F.struct("best.similarity", -F.col("best.start"))).alias("best")).select(id_col, item_col, "best.*")
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how: object) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose id holds no benchmark item."""
+    leaks = settle(find_leaks(docs, benchmark, id_col=id_col, **how).select(F.col(id_col).alias("leaking_id")).distinct(), "leaks")
+    return docs.join(leaks, docs[id_col].eqNullSafe(leaks["leaking_id"]), "left_anti")

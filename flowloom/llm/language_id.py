@@ -271,3 +271,17 @@ def predict_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
 
     id_type = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {id_type}, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.5) -> DataFrame:
+    """The rows of `docs`, with all their columns, that have a language of at least this score."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 2000):
+                part = batch.slice(first, 2000)
+                found = sent.value.predict(part.column(at).to_pylist())
+                yield part.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

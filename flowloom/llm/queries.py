@@ -13,6 +13,7 @@ from flowloom.llm import (
     common,
     decontaminate,
     language_id,
+    near_dedup,
     page_text,
     token_counts,
     topk_join,
@@ -79,3 +80,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_decontaminate")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+@register("op1_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(common.table(spark, sf_dir, "documents"))

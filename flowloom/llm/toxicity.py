@@ -249,3 +249,14 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     out = rows.mapInArrow(run, f"id {id_type}, held_out boolean, score double, predicted int, nearest_id {id_type}, nearest_cosine double")
     return out.withColumnRenamed("id", id_col)
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose score is under the threshold."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([sent.value.score(t.as_py())[0] < threshold for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
