@@ -144,6 +144,8 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text."""
+        if not self.languages:
+            return [(UNKNOWN, 0.0)] * len(texts)
         self.reset()
         rows = [self.places(t.split()) if t else np.zeros(0, np.int64) for t in texts]
         sums = np.zeros((len(texts), len(self.languages)))
