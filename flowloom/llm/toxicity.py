@@ -8,9 +8,9 @@ in enough toxic texts whose share among toxic and clean texts differs by `z` sta
 errors or more. Half of the sample are the examples, half calibrate.
 
 The examples form a block-max inverted index: postings by term, examples in blocks of 64,
-with the largest weight of each term in each block. A text is scored block by block
-in falling order of the bound that its weights and the block maxima give; it stops when
-the bound falls under the k-th best cosine, so the k nearest are exact. They vote
+with the largest weight of each term in each block. The bounds that a text's weights and the block
+maxima give order the blocks; the k-th best cosine in the two best ones rules out blocks
+with a bound under it, the rest are scored, so the k nearest are exact. They vote
 with their cosine, weighted back to the share of the classes among all labels, with
 one clean vote of `prior_votes` beside them. An isotonic fit on the other half turns
 votes into probabilities. The nearest example and its cosine are the evidence.
@@ -66,20 +66,20 @@ class Model:
     def counts(self, text: str | None) -> Counter:
         """How often each kept term stands in a text; last, how many words have none."""
         found: Counter = Counter()
-        known, plain, words = self.words, 0, _WORD.findall(text.lower()) if text else []
-        for w in words:
-            got = known.get(w)
-            if got is None:
-                if len(known) >= KEPT:
-                    known.clear()
-                got = tuple(self.terms[t] for t in terms_of(w) if t in self.terms)
-                if len(w) <= 64:
-                    known[w] = got
-            if got:
-                for t in got:
-                    found[t] += 1
-            else:
-                plain += 1
+        known, words = self.words, _WORD.findall(text.lower()) if text else []
+        got = list(map(known.get, words))
+        if None in got:
+            if len(known) >= KEPT:
+                known.clear()
+            for i, g in enumerate(got):
+                if g is None:
+                    got[i] = known.get(words[i])
+                    if got[i] is None:
+                        got[i] = known[words[i]] = tuple(self.terms[t] for t in terms_of(words[i]) if t in self.terms)
+        plain = got.count(())
+        for g in filter(None, got) if plain < len(got) else ():
+            for t in g:
+                found[t] += 1
         if plain:
             found[len(self.terms)] = plain
         return found
@@ -92,6 +92,14 @@ class Model:
         return at, w / size if size else w
 
     def index(self, examples: list[tuple[object, int, Counter]], weights: tuple[float, float]) -> None:
+        same: Counter = Counter()
+        first = []  # of examples with equal vectors only the first k can be among the k nearest
+        for e in examples:
+            key = tuple(sorted(e[2].items())) if set(e[2]) != {len(self.terms)} else "plain"
+            same[key] += 1
+            if same[key] <= self.neighbours:
+                first.append(e)
+        examples = first
         vectors = [self.vector(c) for _, _, c in examples]
         self.ids, self.label = [e[0] for e in examples], np.array([e[1] for e in examples], dtype=float)
         self.vote = np.where(self.label == 1, weights[1], weights[0])
@@ -114,19 +122,28 @@ class Model:
         if not len(at) or not blocks:
             return np.zeros(0, np.int64), np.zeros(0)
         bound = w @ self.largest[at]
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1] - 1e-9):
-                break
-            scores = np.zeros(BLOCK)
-            for t, x in zip(at, w):
-                lo, hi = self.pointer[t * blocks + b], self.pointer[t * blocks + b + 1]
-                scores[self.posted[lo:hi] - b * BLOCK] += x * self.weight[lo:hi]
-            hit = np.flatnonzero(scores > 0)
-            best_at, best = np.concatenate([best_at, hit + b * BLOCK]), np.concatenate([best, scores[hit]])
-            keep = np.lexsort((best_at, -np.round(best, 12)))[:k]
-            best_at, best = best_at[keep], best[keep]
-        return best_at, best
+        scores = np.zeros(blocks * BLOCK)
+        seen = np.argsort(-bound, kind="stable")[:2]
+        for b in sorted(seen.tolist()):
+            self._add(scores, at, w, b, b + 1)
+        floor = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
+        open_ = bound >= max(floor - 1e-9, 1e-12)  # the k-th best so far bounds what can still be among the k nearest
+        open_[seen] = False
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], open_.view(np.int8), [0]])))
+        for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):  # blocks in a row at once
+            self._add(scores, at, w, lo, hi)
+        hit = np.flatnonzero(scores > 0)
+        if len(hit) > k:
+            hit = hit[scores[hit] >= np.partition(scores[hit], len(hit) - k)[len(hit) - k] - 1e-9]
+        hit = hit[np.lexsort((hit, -np.round(scores[hit], 12)))][:k]
+        return hit, scores[hit]
+
+    def _add(self, scores: np.ndarray, at: np.ndarray, w: np.ndarray, first: int, end: int) -> None:
+        """Weights of blocks first to end - 1, onto their examples' scores."""
+        blocks = self.largest.shape[1]
+        for t, x in zip(at.tolist(), w.tolist()):
+            lo, hi = self.pointer[t * blocks + first], self.pointer[t * blocks + end]
+            scores[self.posted[lo:hi]] += x * self.weight[lo:hi]
 
     def votes(self, counts: Counter) -> tuple[float, object, float]:
         """Share of toxic votes, and the id and cosine of the nearest example."""
