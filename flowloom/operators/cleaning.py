@@ -101,11 +101,15 @@ def fill_table(spark: SparkSession, fills: Mapping[str, float]) -> DataFrame:
 
 
 def apply_fill(df: DataFrame, fills: Mapping[str, float]) -> DataFrame:
-    """Missing cells take their fill value; one projection of literals, no join."""
-    types = dict(df.dtypes)
+    """Missing cells take their fill value; one projection of literals, no join.
+
+    A whole-number column whose fill value has a fraction becomes double.
+    """
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    types = {c: "double" if t in whole and c in fills and float(fills[c]) % 1 else t for c, t in df.dtypes}
     return df.withColumns(
         {
-            f: F.when(is_missing(named(f)), F.lit(float(v)).cast(types[f])).otherwise(named(f))
+            f: F.when(is_missing(named(f)), F.lit(float(v)).cast(types[f])).otherwise(named(f).cast(types[f]))
             for f, v in fills.items()
             if f in types
         }

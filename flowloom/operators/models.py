@@ -32,15 +32,39 @@ def _fit(train: DataFrame, features: Sequence[str], learner) -> PipelineModel:
 
 
 def train_boosted(
-    train: DataFrame, val: DataFrame, features: Sequence[str], label: str = "y", seed: int = 42, **params
+    train: DataFrame, val: DataFrame, features: Sequence[str], label: str = "y", seed: int = 42, patience: int = 100,
+    first_rounds: int = 64, **params
 ) -> PipelineModel:
-    """Boosted binary trees that stop on the validation rows and keep the best round."""
-    rows = train.withColumn("_val", F.lit(False)).unionByName(val.withColumn("_val", F.lit(True)))
-    learner = GBTClassifier(
-        featuresCol="_features", labelCol=label, validationIndicatorCol="_val", seed=seed,
-        cacheNodeIds=True, checkpointInterval=10, **{**BOOSTING, **params},
-    )
-    return _fit(rows, features, learner)
+    """Boosted binary trees up to the round of the lowest validation loss.
+
+    Rounds are doubled from `first_rounds` on until the best one lies `patience` rounds back or
+    maxIter is reached, then the trees up to the best round are fitted. Without validation
+    rows all rounds stay.
+    """
+    settings = {**BOOSTING, **params}
+    last = settings.pop("maxIter")
+
+    def fit(rounds: int) -> PipelineModel:
+        learner = GBTClassifier(
+            featuresCol="_features", labelCol=label, seed=seed, cacheNodeIds=True, checkpointInterval=10, maxIter=rounds, **settings)
+        return _fit(train, features, learner)
+
+    if val.isEmpty():
+        return fit(last)
+    rounds = min(last, first_rounds)
+    while True:
+        model = fit(rounds)
+        losses = validation_losses(model, val)
+        best = losses.index(min(losses)) + 1
+        if rounds == last or best + patience <= rounds:
+            return model if best == rounds else fit(best)
+        rounds = min(last, 2 * rounds)
+
+
+def validation_losses(model: PipelineModel, val: DataFrame) -> list[float]:
+    """Loss on the validation rows after each round."""
+    assembler, trees = model.stages
+    return list(trees.evaluateEachIteration(assembler.transform(val)))
 
 
 def train_forest(

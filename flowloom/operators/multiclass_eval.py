@@ -13,16 +13,19 @@ from flowloom.functions import ratio
 
 
 def confusion_cells(df: DataFrame, classes: int, y: str = "y", pred: str = "pred") -> DataFrame:
-    """All K x K cells, zeros included; one aggregate over the rows. Labels outside 0..K-1 do not count."""
-    known = F.col(y).between(0, classes - 1) & F.col(pred).between(0, classes - 1)
-    cell = F.col(y).cast("long") * classes + F.col(pred).cast("long")
-    counts = df.where(known).groupBy(cell.alias("id")).agg(F.count(F.lit(1)).alias("_n"))
-    grid = df.sparkSession.range(classes * classes)
-    return grid.join(counts, "id", "left").select(
-        F.floor(F.col("id") / classes).cast("int").alias("y"),
-        (F.col("id") % classes).cast("int").alias("pred"),
-        F.coalesce("_n", F.lit(0)).alias("n"),
-    )
+    """All K x K cells, zeros included; one aggregate over the rows.
+
+    A label or prediction that is missing or outside 0..K-1 is NULL; such cells are there only if
+    they have rows. They count as wrong answers: a missing prediction lowers its class's recall,
+    a missing label the precision of what was predicted, both the accuracy.
+    """
+    def known(c: str):
+        return F.when(F.col(c).between(0, classes - 1), F.col(c).cast("int"))
+
+    counts = df.groupBy(known(y).alias("y"), known(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+    zeros = df.sparkSession.range(classes * classes).select(
+        F.floor(F.col("id") / classes).cast("int").alias("y"), (F.col("id") % classes).cast("int").alias("pred"), F.lit(0).cast("long").alias("n"))
+    return zeros.unionByName(counts).groupBy("y", "pred").agg(F.sum("n").alias("n"))
 
 
 def normalised(cells: DataFrame) -> DataFrame:
@@ -32,7 +35,7 @@ def normalised(cells: DataFrame) -> DataFrame:
 
 
 def per_class(cells: DataFrame) -> DataFrame:
-    """Precision, recall, F1, support of every class; 0 where undefined."""
+    """Precision, recall, F1, support of every class; 0 where undefined. Class NULL, if there, holds what is missing."""
     right = F.when(F.col("y") == F.col("pred"), F.col("n")).otherwise(0)
     none = F.lit(0).cast("long")
     sides = F.array(
@@ -54,7 +57,7 @@ def per_class(cells: DataFrame) -> DataFrame:
 def summary(classes: DataFrame) -> DataFrame:
     """Accuracy, macro and weighted F1. The macro mean covers the labels seen in truth or
     prediction only; `labels` lists them, since figures over different label sets do not compare."""
-    seen = F.col("support") + F.col("predicted") > 0
+    seen = (F.col("support") + F.col("predicted") > 0) & F.col("class_id").isNotNull()
     total = F.sum("support")
     return classes.agg(
         ratio(F.sum("hits"), total).alias("accuracy"),
@@ -68,14 +71,15 @@ def summary(classes: DataFrame) -> DataFrame:
 def class_report(classes: DataFrame, names: Sequence[str] = CLASS_NAMES) -> DataFrame:
     """Rows per seen class plus accuracy, macro average and weighted average."""
     title = F.array(*[F.lit(n) for n in names])[F.col("class_id")]
-    seen = classes.where("support + predicted > 0")
+    counted = classes.where("support + predicted > 0")
+    seen = counted.where("class_id IS NOT NULL")
     metrics = ["precision", "recall", "f1"]
     total = F.sum("support")
     rows = seen.select(title.alias("row"), *metrics, "support")
     rates = ratio(F.sum("hits"), total)
-    accuracy = seen.agg(F.lit("accuracy").alias("row"), *[rates.alias(m) for m in metrics], total.alias("support"))
+    accuracy = counted.agg(F.lit("accuracy").alias("row"), *[rates.alias(m) for m in metrics], total.alias("support"))
     macro = seen.agg(F.lit("macro avg").alias("row"), *[F.avg(m).alias(m) for m in metrics], total.alias("support"))
-    weighted = seen.agg(
+    weighted = counted.agg(
         F.lit("weighted avg").alias("row"),
         *[ratio(F.sum(F.col(m) * F.col("support")), total).alias(m) for m in metrics],
         total.alias("support"),

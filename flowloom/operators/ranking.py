@@ -16,6 +16,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+RANGE_SCORES = 250_000
+
+
 def bucketize(df: DataFrame, score: str, edges: Sequence[float], out: str) -> DataFrame:
     """Number of edges that the score reaches (score >= edge); a missing score reaches none."""
     low, high = float("-inf"), float("inf")
@@ -27,9 +30,9 @@ def bucketize(df: DataFrame, score: str, edges: Sequence[float], out: str) -> Da
 
 
 def score_edges(df: DataFrame, score: str, ranges: int | None = None) -> list[float]:
-    """Score values that cut the rows into about equal parts; a few thousand numbers at most."""
+    """Score values that cut the rows into about equal parts of `RANGE_SCORES` different scores."""
     if ranges is None:
-        ranges = max(16, min(10_000, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        ranges = max(16, -(-df.agg(F.approx_count_distinct(score)).first()[0] // RANGE_SCORES))
     steps = [i / ranges for i in range(1, ranges)]
     finite = F.when(~F.isnan(score) & (F.abs(F.col(score)) < float("inf")), F.col(score).cast("double"))
     found = df.agg(F.percentile_approx(finite, steps, max(10_000, 10 * ranges))).first()[0]
@@ -44,6 +47,7 @@ def score_ladder(
     Also carries the group totals `positives` and `negatives`.
     """
     by = list(by)
+    df = df.withColumn(score, F.when(~F.isnan(score), F.col(score)))  # a score that is no number ranks last, as a missing one
     edges = score_edges(df, score, ranges)
     per_score = (
         bucketize(df, score, edges, "_range")

@@ -4,8 +4,8 @@ A row's place is decided by a hash of seed and row key. "The n rows with the
 lowest hash" is an exact uniform sample, independent of partitioning. Ranking
 whole groups would put a hot file or class into one task, so the cut hash of
 every group is found from counts: a histogram of leading hex digits (merged
-map-side) shows in which hash range the n-th row lies, and only that thin range
-is ranked. The sample itself is then a plain filter.
+map-side) shows in which hash range the n-th row lies, the next digits inside
+that range follow until it is thin, and only the thin range is ranked. The sample itself is then a plain filter.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from flowloom.operators.quotas import largest_remainder
 from flowloom.session import settle
 
 RANGE_ROWS = 4096  # aimed rows per hash range
-MAX_DIGITS = 4  # at most 16**4 ranges per group
+MAX_DIGITS = 4  # digits of the hash in one round: at most 16**4 counters per group
+HASH_DIGITS = 32
 BELOW_ALL, ABOVE_ALL = "", "~"  # sort before and after every hex digit
 
 
@@ -37,41 +38,46 @@ def cut_points(
 
     `targets` has the group columns, `cut` (its name), `total_rows` of the group
     and `want`. Adds `cut_hash` and `cut_key`; wanting nothing gives a hash below
-    every row, wanting all of a group one above every row.
+    every row, wanting all of a group one above every row. Fails on a NULL group or
+    key, on a key that repeats at the cut and on a group with fewer rows than
+    `total_rows` says, instead of returning a sample of another size.
     """
     tag = [*group, "cut"]
     targets = settle(targets, "cut-targets")
-    ranges = F.greatest(F.lit(1.0), F.col("total_rows") / F.lit(float(range_rows)))
-    targets = targets.withColumn("_digits", F.least(F.lit(MAX_DIGITS), F.ceil(F.log(16.0, ranges))).cast("int"))
-    undecided = targets.where("want > 0 AND want < total_rows").select(*tag, "want", "_digits")
-    hashed = rows.select(*group, F.col(key).alias("cut_key"), seeded_hash(seed, F.col(key)).alias("cut_hash"))
-    leading = F.substring(F.col("cut_hash"), F.lit(1), F.col("_digits"))
-
-    histogram = (
-        hashed.join(undecided, list(group))
-        .groupBy(*tag, "want", "_digits", leading.alias("_range"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    upto = F.sum("_n").over(W.partitionBy(*tag).orderBy("_range"))
-    edge = settle(
-        histogram.withColumn("_upto", upto)
-        .where("_upto >= want AND _upto - _n < want")
-        .select(*tag, "_digits", "_range", (F.col("want") - F.col("_upto") + F.col("_n")).alias("_need")),
-        "cut-ranges",
-    )
-    place = F.row_number().over(W.partitionBy(*tag).orderBy("cut_hash", "cut_key"))
+    hashed = _present(rows, [*group, key]).select(*group, F.col(key).alias("cut_key"), seeded_hash(seed, F.col(key)).alias("cut_hash"))
+    edge = targets.where("want > 0 AND want < total_rows").select(
+        *tag, F.col("want").alias("_need"), F.col("total_rows").alias("_inside"), F.lit("").alias("_prefix"))
+    for done in range(0, HASH_DIGITS, MAX_DIGITS):
+        wide = edge.where(F.col("_inside") > range_rows)
+        if wide.isEmpty():
+            break
+        inside = hashed.join(wide, list(group)).where(F.col("cut_hash").startswith(F.col("_prefix")))
+        counted = inside.groupBy(*tag, "_need", "_prefix", F.substring("cut_hash", done + 1, MAX_DIGITS).alias("_next")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(W.partitionBy(*tag).orderBy("_next"))
+        thinner = counted.withColumn("_upto", upto).where("_upto >= _need AND _upto - _n < _need").select(
+            *tag, (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_need"), F.col("_n").alias("_inside"),
+            F.concat("_prefix", "_next").alias("_prefix"))
+        edge = settle(edge.where(F.col("_inside") <= range_rows).unionByName(thinner), "cut-ranges")
+    order = W.partitionBy(*tag).orderBy("cut_hash", "cut_key")
+    again = (F.lead("cut_hash").over(order) == F.col("cut_hash")) & (F.lead("cut_key").over(order) == F.col("cut_key"))
     last = (
         hashed.join(edge, list(group))
-        .where(leading == F.col("_range"))
-        .withColumn("_place", place)
+        .where(F.col("cut_hash").startswith(F.col("_prefix")))
+        .withColumns({"_place": F.row_number().over(order), "_again": again})
         .where("_place = _need")
-        .select(*tag, "cut_hash", "cut_key")
+        .select(*tag, F.when(F.col("_again"), F.raise_error(F.lit(f"{key} is not unique at the cut of a sample"))).otherwise(F.col("cut_hash")).alias("cut_hash"), "cut_key")
     )
     sure = F.when(F.col("want") <= 0, BELOW_ALL).when(F.col("want") >= F.col("total_rows"), ABOVE_ALL)
-    cuts = targets.join(last, tag, "left").drop("_digits").withColumn("cut_hash", F.coalesce(sure, "cut_hash"))
+    short = F.raise_error(F.lit("a group has fewer rows than its target says"))
+    cuts = targets.join(last, tag, "left").withColumn("cut_hash", F.coalesce(sure, "cut_hash", short))
     return settle(cuts, "cuts")
 
 
+def _present(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows; reading one with a NULL in a column that must not have any is an error."""
+    return rows.withColumns({c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{c} is NULL")).cast(rows.schema[c].dataType)) for c in columns})
+
+
 def _inside(seed: int, key: str, cut_hash: Column, cut_key: Column) -> Column:
     h = seeded_hash(seed, F.col(key))
     return (h < cut_hash) | ((h == cut_hash) & (F.col(key) <= cut_key))
@@ -93,7 +99,7 @@ def take_exact(
     """
     cuts = cut_points(rows, targets.withColumn("cut", F.lit(0)), group, key, seed, **tuning)
     limits = cuts.select(*group, *carry, "cut_hash", F.col("cut_key").alias("_cut_key"))
-    kept = rows.join(limits, list(group)).where(_inside(seed, key, F.col("cut_hash"), F.col("_cut_key")))
+    kept = _present(rows, [*group, key]).join(limits, list(group)).where(_inside(seed, key, F.col("cut_hash"), F.col("_cut_key")))
     return kept.select(*rows.columns, *carry)
 
 
@@ -170,14 +176,13 @@ def stratified_split(
         return _inside(seed, key, F.col(f"_{name}_cut_hash"), F.col(f"_{name}_cut_key"))
 
     split = F.when(inside("test"), "test").when(inside("val"), "val").otherwise("train")
-    return rows.join(limits, class_col).select(*rows.columns, split.alias("split"))
+    return _present(rows, [class_col, key]).join(limits, class_col).select(*rows.columns, split.alias("split"))
 
 
 def cap_targets(counts: DataFrame, caps: Mapping[int, int], class_col: str) -> DataFrame:
-    """Targets for a per-class cap; classes outside the cap table get no target and so are dropped."""
+    """Targets for a per-class cap; classes outside the cap table are kept whole."""
     table = F.create_map(*[F.lit(x) for pair in caps.items() for x in pair])
-    cap = table[F.col(class_col)]
-    return counts.where(cap.isNotNull()).withColumn("want", F.least(F.col("total_rows"), cap))
+    return counts.withColumn("want", F.least(F.col("total_rows"), table[F.col(class_col)]))  # least passes over NULL
 
 
 def class_counts(rows: DataFrame, class_col: str) -> DataFrame:

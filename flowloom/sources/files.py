@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from pathlib import Path
 from urllib.parse import quote
 
@@ -14,9 +15,23 @@ def plain(uri: str) -> str:
     return re.sub(r"^file:/+", "/", uri)
 
 
+#: Names that Hadoop has for stores that pyarrow knows by another one.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+_FACTORIES: dict[str, Callable[[str], tuple[pafs.FileSystem, str]]] = {}
+
+
+def register_filesystem(scheme: str, factory: Callable[[str], tuple[pafs.FileSystem, str]]) -> None:
+    """Use `factory(uri) -> (file system, path)` for a scheme, for stores that need settings or that pyarrow does not know."""
+    _FACTORIES[scheme] = factory
+
+
 def locate(uri: str | Path) -> tuple[pafs.FileSystem, str]:
     where = plain(str(uri))
     if "://" in where:
+        scheme, rest = where.split("://", 1)
+        if scheme in _FACTORIES:
+            return _FACTORIES[scheme](where)
+        where = f"{_SCHEMES.get(scheme, scheme)}://{rest}"
         return pafs.FileSystem.from_uri(quote(where, safe=":/@=?&"))
     return pafs.LocalFileSystem(), where
 

@@ -23,7 +23,7 @@ _NOTHING = ("_repeat_0",)
 
 def _relative(path: Column, root: str) -> Column:
     tail = re.escape(root.rstrip("/").split(":")[-1].lstrip("/"))
-    return F.regexp_replace(path, f"^.*?{tail}/", "")
+    return F.regexp_replace(path, f"^(?:.*?/)?{tail}/", "")
 
 
 def _decoded(path: Column) -> Column:
@@ -139,14 +139,19 @@ def read_flow_csv(
     columns: Sequence[str] | None = None,
     known_headerless: Sequence[str] = KNOWN_HEADERLESS,
     tolerant: bool = False,
+    on_suspicious: str = "raise",
 ) -> DataFrame:
     """All CSV files below root as text columns in one schema, with lineage.
 
     Files are grouped by header line (a handful of variants), each variant is one
     scan aligned to `columns` by name; known files without header take the
     columns by position. `tolerant` skips overlong lines and reads files that
-    are not UTF-8 as latin-1.
+    are not UTF-8 as latin-1. A file whose first line has no known name, and which is not known to
+    be headerless, is an error; `on_suspicious` may also read it by position ("positional"), as rows of
+    NULL without its first line ("null"), or leave it out ("skip").
     """
+    if on_suspicious not in ("raise", "positional", "null", "skip"):
+        raise ValueError(f"on_suspicious: {on_suspicious}")
     inventory = file_inventory(spark, root, known_headerless)
     columns = list(columns or canonical_columns(inventory))
     heads = inventory.where("first_line <> ''").withColumn("head", F.md5("first_line"))
@@ -157,10 +162,15 @@ def read_flow_csv(
     variants: dict[tuple, list[str]] = {}
     for f in files:
         names = tuple(columns) if f.known_headerless else names_of[f.head]
+        header = not f.known_headerless
         if not set(names) & set(columns):
-            names = _NOTHING  # a first line without any known name: rows of NULLs, as one variant
+            if on_suspicious == "raise":
+                raise RuntimeError(f"{f.path} has no known column name in its first line; say what it is by known_headerless or on_suspicious")
+            if on_suspicious == "skip":
+                continue
+            names, header = (tuple(columns), False) if on_suspicious == "positional" else (_NOTHING, True)
         encoding = "ISO-8859-1" if plain(f.path) in odd else "UTF-8"
-        variants.setdefault((names, not f.known_headerless, encoding), []).append(f.path)
+        variants.setdefault((names, header, encoding), []).append(f.path)
     if not variants:
         raise RuntimeError(f"no readable CSV file below {root}")
     parts = []
@@ -185,8 +195,9 @@ def first_existing(spark: SparkSession, *paths: str) -> DataFrame:
     for path in paths[:-1]:
         try:
             return spark.read.parquet(path)
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # a table that is there but empty or broken is an error
+                raise
     return spark.read.parquet(paths[-1])
 
 

@@ -140,3 +140,9 @@ def test_top_features_from_either_shape(tmp_path):
     assert shift.load_top_features(tmp_path / "a.json", 1) == ["y"]
     assert shift.load_top_features(tmp_path / "b.json") == ["x", "y"]
     assert len(shift.load_top_features(tmp_path / "none.json")) == 15
+
+
+def test_fraction_fills_whole_number_columns_without_loss(spark):
+    df = spark.createDataFrame([(1, 1), (None, None)], "a int, b int")
+    got = cleaning.apply_fill(df, {"a": 2.5, "b": 3.0})
+    assert dict(got.dtypes) == {"a": "double", "b": "int"} and [tuple(r) for r in got.collect()] == [(1.0, 1), (2.5, 3)]

@@ -63,6 +63,28 @@ def test_areas_equal_pair_counting(spark, pairs, ranges):
     assert points[0][1:] == (1.0, 1.0) and len(points) == len({p for _, p in pairs})
 
 
+@pytest.mark.parametrize("ranges", [None, 1, 4, 50])
+def test_scores_that_are_no_number_rank_last(spark, ranges):
+    made = [(i % 3 == 0, i / 100) for i in range(60)] + [(True, float("nan"))] * 20 + [(True, None)] * 5
+    df = spark.createDataFrame([(int(y), p) for y, p in made], "y int, p double")
+    low = [(y, -1.0 if p is None or p != p else p) for y, p in made]
+    pairs = [(1 if p > q else 0.5 if p == q else 0) for y, p in low if y for z, q in low if not z]
+    got = ranking.ranking_areas(ranking.score_ladder(df, ranges=ranges)).first()
+    assert got.roc_auc == pytest.approx(sum(pairs) / len(pairs))
+
+
+def test_missing_answers_count_as_wrong(spark):
+    df = spark.createDataFrame([(0, 0), (0, None), (1, 1), (1, 9), (9, 1), (None, None)], "y int, pred int")
+    cells = multiclass_eval.confusion_cells(df, 3)
+    assert cells.agg(F.sum("n")).first()[0] == 6 and cells.where("y IS NOT NULL AND pred IS NOT NULL").count() == 9
+    classes = multiclass_eval.per_class(cells)
+    by = {r.class_id: r for r in classes.collect()}
+    assert (by[0].recall, by[0].precision, by[1].recall, by[1].precision, by[1].support) == (0.5, 1.0, 0.5, 0.5, 2)
+    assert multiclass_eval.summary(classes).first().accuracy == pytest.approx(2 / 6)
+    report = {r.row: r for r in multiclass_eval.class_report(classes).collect()}
+    assert report["accuracy"].precision == pytest.approx(2 / 6) and len(report) == 5
+
+
 def test_hot_score_and_single_class(spark):
     hot = [(i % 2, 0.5) for i in range(3000)] + [(1, 0.9), (0, 0.1)]
     got = ranking.ranking_areas(ranking.score_ladder(scored(spark, hot))).first()
@@ -109,7 +131,7 @@ def test_macro_average_covers_seen_labels_only(spark):
     assert labels.label_count == 3 and labels.macro_f1 == pytest.approx(1 / 3)
     assert classes.count() == 8
     outside = multiclass_eval.confusion_cells(spark.createDataFrame([(0, 9), (0, 0), (None, 1)], "y int, pred int"), 8)
-    assert outside.agg(F.sum("n")).first()[0] == 1
+    assert outside.agg(F.sum("n")).first()[0] == 3 and outside.where("y IS NULL OR pred IS NULL").agg(F.sum("n")).first()[0] == 2
     report = {r.row: r.support for r in multiclass_eval.class_report(classes).collect()}
     assert report["macro avg"] == 4 and set(report) == {"Benign", "DoS", "DDoS", "accuracy", "macro avg", "weighted avg"}
 

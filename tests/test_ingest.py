@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowloom.contracts import FEATURES_46, FEATURES_71, RENAMES_2017, contract_problems, load_contract
 from flowloom.operators import schema
@@ -65,7 +66,7 @@ def test_canonical_columns_come_from_first_good_file(spark, root):
 
 
 def test_read_aligns_repairs_and_converts(spark, root):
-    raw = flow_csv.read_flow_csv(spark, root, known_headerless=KNOWN)
+    raw = flow_csv.read_flow_csv(spark, root, known_headerless=KNOWN, on_suspicious="null")
     done = flow_csv.compact(raw, "demo")
     assert "Src IP" not in done.columns and "Label" not in done.columns and "Extra" not in done.columns
     assert dict(done.dtypes)["Flow Bytes/s"] == "float" and dict(done.dtypes)["target_binary"] == "tinyint"
@@ -83,8 +84,35 @@ def test_read_aligns_repairs_and_converts(spark, root):
     assert by_file["Web/d.csv"][0].raw_stage2_label == "Web" and by_file["Web/d.csv"][0].source_dataset == "demo"
 
 
+def test_suspicious_files_are_an_error_unless_told(spark, root):
+    with pytest.raises(RuntimeError, match="Recon/c.csv"):
+        flow_csv.read_flow_csv(spark, root, known_headerless=KNOWN)
+    rows = {how: flow_csv.read_flow_csv(spark, root, known_headerless=KNOWN, on_suspicious=how).where("source_relative_file = 'Recon/c.csv'").collect()
+            for how in ("skip", "null", "positional")}
+    assert rows["skip"] == [] and len(rows["positional"]) == len(rows["null"]) + 1
+    assert all(r["Flow Bytes/s"] is None for r in rows["null"]) and any(r["Flow Bytes/s"] for r in rows["positional"])
+
+
+def test_lineage_starts_at_a_whole_folder_name(spark):
+    paths = spark.createDataFrame([("file:/srv/draw/x/raw/DoS/a.csv",), ("file:/data/raw/DoS/a.csv",)], "p string")
+    got = [r[0] for r in paths.select(flow_csv.lineage("x/raw", F.col("p"))["source_relative_file"]).collect()]
+    assert got[0] == "DoS/a.csv"
+    assert paths.select(flow_csv.lineage("raw", F.col("p"))["source_class_folder"]).first()[0] == "DoS"
+
+
+def test_store_names_and_factories(tmp_path):
+    from pyarrow import fs
+
+    from flowloom.sources import files
+
+    files.register_filesystem("demo", lambda uri: (fs.LocalFileSystem(), str(tmp_path / uri.split("://")[1])))
+    files.write_text("demo://x.txt", "hello")
+    assert (tmp_path / "x.txt").read_text() == "hello" and files.read_text("demo://x.txt") == "hello"
+    assert files.locate("s3a://bucket/key?region=eu-west-1")[1] == "bucket/key"
+
+
 def test_compact_write_gives_manifest_of_written_rows(spark, root, tmp_path):
-    raw = flow_csv.read_flow_csv(spark, root, known_headerless=KNOWN)
+    raw = flow_csv.read_flow_csv(spark, root, known_headerless=KNOWN, on_suspicious="null")
     out = str(tmp_path / "compact")
     manifest = flow_csv.write_compact(flow_csv.compact(raw, "demo"), out)
     counts = {r.source_relative_file: r.rows_written for r in manifest.collect()}
@@ -110,10 +138,13 @@ def test_parquet_is_preferred(spark, root, tmp_path):
     folder = str(tmp_path / "both")
     spark.range(3).write.parquet(folder + "/p")
     assert flow_csv.read_preferred(spark, folder).count() == 3
-    assert flow_csv.read_preferred(spark, root, lambda s, r: flow_csv.read_flow_csv(s, r, known_headerless=KNOWN)).count() == 11
+    assert flow_csv.read_preferred(spark, root, lambda s, r: flow_csv.read_flow_csv(s, r, known_headerless=KNOWN, on_suspicious="null")).count() == 11
     base = str(tmp_path / "base")
     spark.range(2).write.parquet(base)
     assert flow_csv.first_existing(spark, str(tmp_path / "augmented"), base).count() == 2
+    (tmp_path / "broken").mkdir()
+    with pytest.raises(Exception, match="(?i)schema"):
+        flow_csv.first_existing(spark, str(tmp_path / "broken"), base)
 
 
 def test_foreign_alignment_names_missing_columns(spark):

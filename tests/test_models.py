@@ -28,6 +28,22 @@ def test_boosting_stops_on_validation_rows(rows):
     assert scored.where((F.col("p") >= 0.5) == (F.col("y") == 1)).count() == 600
 
 
+def test_boosting_ends_at_the_round_of_least_validation_loss(spark):
+    import random
+
+    rng = random.Random(4)
+    made = [(float(rng.randrange(20)), float(rng.randrange(20)), i % 3 == 0) for i in range(400)]
+    noisy = spark.createDataFrame([(a, b, int((a > 9) != (rng.random() < 0.3)), v) for a, b, v in made], "`Flow Bytes/s` double, x double, y int, v boolean")
+    train, val = noisy.where("NOT v"), noisy.where("v")
+    every = models.train_boosted(train, val.limit(0), FEATURES, maxIter=12, maxDepth=3, stepSize=0.5)
+    losses = models.validation_losses(every, val)
+    assert len(losses) == 12
+    best = models.train_boosted(train, val, FEATURES, maxIter=12, maxDepth=3, stepSize=0.5, first_rounds=4, patience=20)
+    assert best.stages[-1].getNumTrees == losses.index(min(losses)) + 1
+    eager = models.train_boosted(train, val, FEATURES, maxIter=12, maxDepth=3, stepSize=0.5, first_rounds=4, patience=0)
+    assert eager.stages[-1].getNumTrees == losses[:4].index(min(losses[:4])) + 1
+
+
 def test_training_job_picks_threshold_and_metrics(rows):
     done = jobs.train_and_judge(rows.withColumn("flat", F.lit(1.0)), [*FEATURES, "flat"], "y", maxIter=2, maxDepth=2)
     assert done.features == FEATURES and 0.05 <= done.threshold <= 0.95

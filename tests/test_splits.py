@@ -140,10 +140,42 @@ def test_stratified_split_is_a_partition(spark):
     assert {(r.c, r.split): r["count"] for r in split.groupBy("c", "split").count().collect()} == wanted
 
 
-def test_cap_drops_classes_without_cap(spark):
+def test_cap_keeps_classes_without_cap(spark):
     rows = spark.createDataFrame([(i % 3, f"k{i}") for i in range(300)], "c int, row_key string")
     counts = {r.c: r["count"] for r in jobs.augment(rows, [], "c", {0: 10, 1: 1000}).groupBy("c").count().collect()}
-    assert counts == {0: 10, 1: 100}
+    assert counts == {0: 10, 1: 100, 2: 100}
+
+
+@pytest.mark.parametrize("bad", [("a", None), (None, "k1")])
+def test_missing_group_or_key_is_an_error(spark, bad):
+    rows = spark.createDataFrame([("a", f"k{i}") for i in range(9)] + [bad], "g string, row_key string")
+    targets = spark.createDataFrame([("a", 9, 3)], "g string, total_rows long, want long")
+    with pytest.raises(Exception, match="is NULL"):
+        sampling.take_exact(rows, targets, ["g"]).collect()
+
+
+def test_repeated_keys_at_the_cut_and_short_groups_are_errors(spark):
+    targets = spark.createDataFrame([("a", 30, 15)], "g string, total_rows long, want long")
+    same = spark.createDataFrame([("a", "k")] * 30, "g string, row_key string")
+    with pytest.raises(Exception, match="not unique"):
+        sampling.take_exact(same, targets, ["g"]).collect()
+    few = spark.createDataFrame([("a", f"k{i}") for i in range(5)], "g string, row_key string")
+    with pytest.raises(Exception, match="fewer rows"):
+        sampling.take_exact(few, targets, ["g"]).collect()
+
+
+@pytest.mark.parametrize("range_rows", [1, 7, 10_000])
+def test_one_file_with_most_rows_and_no_broadcast(spark, range_rows):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = {"big": [f"b{i}" for i in range(900)], "small": [f"s{i}" for i in range(100)]}
+        rows = spark.createDataFrame([(g, k) for g, ks in keys.items() for k in ks], "g string, row_key string")
+        targets = spark.createDataFrame([("big", 900, 333), ("small", 100, 20)], "g string, total_rows long, want long")
+        got = sampling.take_exact(rows, targets, ["g"], range_rows=range_rows).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for g, n in (("big", 333), ("small", 20)):
+        assert sorted(r.row_key for r in got if r.g == g) == sorted(ranked(keys[g])[:n])
 
 
 def test_sample_size_edges(spark):

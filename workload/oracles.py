@@ -21,9 +21,9 @@ def _case(column: str, names: dict[str, str]) -> str:
 LINE_KEY = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT))"
 RATE = "CASE WHEN l_tax = 0 THEN 'inf'::DOUBLE ELSE l_extendedprice / l_tax END"
 GAP = "CASE WHEN l_discount <> 0 THEN l_discount * l_quantity END"
-LINES = """lineitem JOIN part ON l_partkey = p_partkey
-  WHERE p_type NOT IN ('PROMO', 'SMALL') OR (p_type = 'PROMO' AND p_brand = 'Brand#11')
-     OR (p_type = 'SMALL' AND p_brand IN ('Brand#11', 'Brand#12'))"""
+LINES = """(SELECT * REPLACE (CASE p_type WHEN 'PROMO' THEN 'Brand#11'
+    WHEN 'SMALL' THEN CASE WHEN CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INT) % 2 = 1 THEN 'Brand#11' ELSE 'Brand#12' END
+    ELSE p_brand END AS p_brand) FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 FLOWS = f"""flows AS (
   SELECT {LINE_KEY} AS row_key, {_case('p_type', CLASS_OF_TYPE)} AS source_class_folder,
@@ -82,11 +82,11 @@ SCORED_K = f"""scored_k AS (
 
 
 def _domain(which: str) -> str:
-    flag, scale = {"a": ("A", (1, 1, 1, 1)), "b": ("R", (20, 4, 0.05, 1))}[which]
+    mine, scale = {"a": ("<> 'R'", (1, 1, 1, 1)), "b": ("= 'R'", (20, 4, 0.05, 1))}[which]
     cells = zip(("l_quantity", "l_extendedprice", f"({RATE})", f"({GAP})"), scale, FEATURES)
     listed = ", ".join(f'{c} * {s}::DOUBLE AS "{f}"' for c, s, f in cells)
     return f"""domain_{which} AS (SELECT {LINE_KEY} AS row_key, {listed}, 0.0::DOUBLE AS "Bwd URG Flags"
-  FROM lineitem WHERE l_returnflag = '{flag}')"""
+  FROM lineitem WHERE l_returnflag {mine})"""
 
 
 QUOTED = [f'"{f}"' for f in FEATURES]
@@ -279,7 +279,7 @@ JOIN sizes USING (class_id)"""
 ORACLES["class_cap"] = f"""WITH {CLASS_ROWS}
 SELECT row_key, class_id FROM (
   SELECT *, row_number() OVER (PARTITION BY class_id ORDER BY {_hash('row_key::VARCHAR')}, row_key) AS place FROM class_rows)
-WHERE place <= CASE class_id WHEN 0 THEN 500 WHEN 1 THEN 1000000 WHEN 2 THEN 800 END"""
+WHERE place <= CASE class_id WHEN 0 THEN 500 WHEN 1 THEN 1000000 WHEN 2 THEN 800 ELSE place END"""
 ORACLES["shuffle_rows"] = f"WITH {FLOWS} SELECT row_key, source_class_folder FROM flows ORDER BY {_hash()}, row_key"
 ORACLES["sample_n"] = f"WITH {FLOWS} SELECT row_key FROM flows ORDER BY {_hash()}, row_key LIMIT 5000"
 ORACLES["sample_fraction"] = f"""WITH {FLOWS}
@@ -371,7 +371,7 @@ ORACLES["extend_training"] = f"""WITH {FOREIGN}, labelled AS (
     WHEN 'Infilteration' THEN 3 WHEN 'Bot' THEN 6 WHEN 'SQL Injection' THEN 5 END AS class_id FROM foreign_flows),
 placed AS (SELECT *, row_number() OVER (PARTITION BY class_id ORDER BY {_hash()}, row_key) AS place FROM labelled)
 SELECT row_key, class_id, {_PICKED} FROM placed
-WHERE place <= CASE class_id WHEN 0 THEN 5000 WHEN 1 THEN 3000 WHEN 2 THEN 1000000 WHEN 3 THEN 2000 WHEN 6 THEN 200 END"""
+WHERE place <= CASE class_id WHEN 0 THEN 5000 WHEN 1 THEN 3000 WHEN 2 THEN 1000000 WHEN 3 THEN 2000 WHEN 6 THEN 200 ELSE place END"""
 
 # ---- packets ------------------------------------------------------------------------------
 
@@ -484,7 +484,7 @@ _NAMES = "['Benign', 'DoS', 'DDoS', 'Recon', 'BruteForce', 'WebAttack', 'Bot', '
 _ATTACK_CLASS = f"""CASE WHEN p < 0.7::DOUBLE THEN 'Benign' WHEN probs IS NULL THEN 'Attack'
     ELSE {_NAMES}[list_position(probs, list_max(probs))] END"""
 ORACLES["cascade"] = f"""WITH {SCORED2}
-SELECT row_key, (p >= 0.7::DOUBLE)::INT AS is_attack, {_ATTACK_CLASS} AS attack_class FROM scored2 WHERE probs IS NOT NULL"""
+SELECT row_key, (p >= 0.7::DOUBLE)::INT AS is_attack, {_ATTACK_CLASS} AS attack_class FROM scored2"""
 ORACLES["cascade_fallback"] = f"""WITH {SCORED2}
 SELECT (p >= 0.7::DOUBLE)::INT AS is_attack, {_ATTACK_CLASS} AS attack_class, count(*) AS row_count FROM scored2 GROUP BY 1, 2"""
 ORACLES["class_weights"] = f"""WITH {CLASS_ROWS}

@@ -39,12 +39,10 @@ def _gap():
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their part; one family keeps a single brand and one keeps two."""
-    brand = F.col("p_brand")
-    small = (F.col("p_type") == "PROMO") & (brand == "Brand#11")
-    pair = (F.col("p_type") == "SMALL") & brand.isin("Brand#11", "Brand#12")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    part = part.where(~F.col("p_type").isin("PROMO", "SMALL") | small | pair)
+    """Line items with their part; the brand, which names the file, is one for one family and one of two for another."""
+    odd = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int") % 2 == 1
+    brand = F.when(F.col("p_type") == "PROMO", "Brand#11").when(F.col("p_type") == "SMALL", F.when(odd, "Brand#11").otherwise("Brand#12"))
+    part = table(spark, sf_dir, "part").select("p_partkey", F.coalesce(brand, "p_brand").alias("p_brand"), "p_type")
     return table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
 
 
@@ -160,11 +158,11 @@ def scored_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def domain(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
-    """Flow features of one return flag; domain b is scaled so that every severity occurs."""
+    """Flow features of returned rows (b) or all others (a); domain b is scaled so that every severity occurs."""
     scale = {"a": (1.0, 1.0, 1.0, 1.0), "b": (20.0, 4.0, 0.05, 1.0)}[which]
-    flag = {"a": "A", "b": "R"}[which]
+    mine = {"a": F.col("l_returnflag") != "R", "b": F.col("l_returnflag") == "R"}[which]
     cells = [F.col("l_quantity"), F.col("l_extendedprice"), _rate(), _gap()]
-    return table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag).select(
+    return table(spark, sf_dir, "lineitem").where(mine).select(
         _line_key().alias("row_key"),
         *[(c * F.lit(s)).alias(f) for c, s, f in zip(cells, scale, FEATURES)],
         F.lit(0.0).alias("Bwd URG Flags"),

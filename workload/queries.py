@@ -428,8 +428,7 @@ def verdict(spark, sf_dir):
 
 @query
 def cascade(spark, sf_dir):
-    rows = proxies.scored2(spark, sf_dir).where("probs IS NOT NULL")
-    return decisions.cascade(rows, 0.7).select("row_key", "is_attack", "attack_class")
+    return decisions.cascade(proxies.scored2(spark, sf_dir), 0.7).select("row_key", "is_attack", "attack_class")
 
 
 @query
