@@ -14,10 +14,11 @@ up to `sample_chars` characters for each language, the lowest by hash.
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from zlib import crc32
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowloom.llm.common import held_out
+from flowloom.llm.near_dedup import GOLD, mix
 
 CHAIN = 128
 WINDOW = 32
@@ -34,17 +36,48 @@ KEPT = 400_000
 UNKNOWN = "und"
 
 
-def features(word: str, lexica: dict[str, tuple[int, ...]], buckets: int) -> np.ndarray:
-    """Hashed features of a word; empty for a word without a letter."""
+_NO_LETTER = re.compile(r"[\W\d_]+")
+
+
+def letters_of(word: str) -> str:
     w = word.lower()
-    letters = "".join(c for c in w if c.isalpha())
-    if not letters:
-        return np.zeros(0, np.int64)
-    bound = f"^{letters}$"
-    names = {"w" + letters, *(f"p{letters[:k]}" for k in range(1, 5)), *(f"s{letters[-k:]}" for k in range(1, 5))}
-    names.update(f"n{bound[i : i + n]}" for n in (2, 3) for i in range(len(bound) - n + 1))
-    names.update(f"l{lang}" for lang in lexica.get(letters, ()))
-    return np.array(sorted({crc32(n.encode()) % buckets for n in names}), np.int64)
+    return w if w.isalpha() else _NO_LETTER.sub("", w)
+
+
+def features(words: list[str], lexica: dict[str, tuple[int, ...]], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of many words at once (letters only, not empty): all in a row, and where each word's begin."""
+    sizes = np.array([len(w) + 2 for w in words])
+    code = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    every = np.arange(len(words))
+    start, owner = np.cumsum(sizes) - sizes, np.repeat(every, sizes)
+    place = np.arange(len(code)) - start[owner]
+    left = sizes[owner] - place
+    of, hashed = [], []
+
+    def put(who: np.ndarray, value: np.ndarray, kind: int) -> None:
+        of.append(who)
+        hashed.append(mix(value + np.uint64(kind) * GOLD))
+
+    with np.errstate(over="ignore"):
+        put(every, np.add.reduceat(mix(code + place.astype(np.uint64) * GOLD), start), 1)  # the word
+        pair = mix(code[:-1] * GOLD + code[1:])
+        fit = left[:-1] >= 2
+        put(owner[:-1][fit], pair[fit], 2)
+        fit = left[:-2] >= 3
+        put(owner[:-2][fit], (pair[:-1] * GOLD + code[2:])[fit], 3)
+        for sign, edge in ((1, start + 1), (-1, start + sizes - 2)):  # beginnings and endings
+            value = np.zeros(len(words), np.uint64)
+            for k in range(4):
+                long = np.flatnonzero(sizes - 2 > k)
+                value[long] = mix(value[long] * GOLD + code[edge[long] + sign * k])
+                put(long, value[long], 10 + k + (4 if sign < 0 else 0))
+        listed = [(i, y) for i, w in enumerate(words) for y in lexica.get(w, ())]
+        if listed:
+            put(np.array([i for i, _ in listed]), np.array([y for _, y in listed], np.uint64), 30)
+    who = np.concatenate(of)
+    order = np.argsort(who, kind="stable")
+    flat = (np.concatenate(hashed)[order] % np.uint64(buckets)).astype(np.int64)
+    return flat, np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(words)))])
 
 
 def forward_backward(emission: np.ndarray, lengths: np.ndarray, start: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,52 +135,44 @@ class Model:
     start: np.ndarray = field(default_factory=lambda: np.ones(1))
     step: np.ndarray = field(default_factory=lambda: np.ones((1, 1)))
     known: dict[str, int] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
     table: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.float32))
 
     def potentials(self, logs: np.ndarray) -> np.ndarray:
         return np.exp(np.clip(logs - logs.max(-1, keepdims=True), -30, 0))
 
+    def add(self, words: set[str]) -> None:
+        """Rows of the table for new words, -1 for those without a letter."""
+        plain = {w: letters_of(w) for w in words}
+        fresh = sorted({x for x in plain.values() if x and x not in self.rows})
+        if fresh:
+            flat, firsts = features(fresh, self.lexica, self.buckets)
+            table = self.potentials(np.add.reduceat(self.weights[flat], firsts[:-1])).astype(np.float32)
+            self.rows.update(zip(fresh, range(len(self.table), len(self.table) + len(fresh))))
+            self.table = np.concatenate([self.table, table])
+        self.known.update((w, self.rows[x] if x else -1) for w, x in plain.items())
+
     def places(self, words: list[str]) -> np.ndarray:
-        """Rows of the table for words with letters, in order; new words get one."""
-        known = self.known
-        if len(known) >= KEPT:
-            known.clear()
-        at = [known.get(w, -2) for w in words]
-        if -2 in at:
-            for i, x in enumerate(at):
-                if x == -2:
-                    at[i] = self._add(words[i])
-        found = np.array(at, np.int64)
+        """Rows of the table for the words with letters, in order."""
+        if fresh := set(words).difference(self.known):
+            self.add(fresh)
+        found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         return found[found >= 0]
 
-    def _add(self, word: str) -> int:
-        if (got := self.known.get(word)) is not None:
-            return got
-        f = features(word, self.lexica, self.buckets)
-        if not len(f):
-            self.known[word] = -1
-            return -1
-        at = self.used
-        if at >= len(self.table):
-            self.table = np.concatenate([self.table, np.zeros((max(1024, len(self.table)), len(self.languages)), np.float32)])
-        self.table[at] = self.potentials(self.weights[f].sum(0))
-        self.used = at + 1
-        self.known[word] = at
-        return at
-
-    used: int = 0
-
     def reset(self) -> None:
-        if len(self.known) >= KEPT or self.used >= 2 * KEPT:
+        if len(self.known) >= KEPT:
             self.known.clear()
-            self.used = 0
+            self.rows.clear()
+            self.table = self.table[:0]
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text."""
         if not self.languages:
             return [(UNKNOWN, 0.0)] * len(texts)
         self.reset()
-        rows = [self.places(t.split()) if t else np.zeros(0, np.int64) for t in texts]
+        words = [t.split() if t else [] for t in texts]
+        self.add(set(chain.from_iterable(words)).difference(self.known))
+        rows = [self.places(ws) for ws in words]
         sums = np.zeros((len(texts), len(self.languages)))
         chains = [(i, r[k : k + CHAIN]) for i, r in enumerate(rows) for k in range(0, len(r), CHAIN)]
         chains.sort(key=lambda c: len(c[1]))
@@ -179,7 +204,7 @@ def fit(samples: list[tuple[str, str]], buckets: int = 1 << 16, epochs: int = 5,
     pieces: dict[int, list[list[str]]] = defaultdict(list)
     for lang, text in samples:
         words = [w for w in text.split() if any(c.isalpha() for c in w)]
-        counts[of[lang]].update("".join(c for c in w.lower() if c.isalpha()) for w in words)
+        counts[of[lang]].update(map(letters_of, words))
         pieces[of[lang]] += [words[k : k + WINDOW] for k in range(0, len(words), WINDOW)]
     lexica: dict[str, list[int]] = defaultdict(list)
     for y, c in counts.items():
@@ -202,8 +227,7 @@ def fit(samples: list[tuple[str, str]], buckets: int = 1 << 16, epochs: int = 5,
             tags = [y] * len(words)
         chains.append((words, tags))
     vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for words, _ in chains for w in words))}
-    lists = [features(w, model.lexica, buckets) for w in vocabulary]
-    flat, firsts = np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    flat, firsts = features([letters_of(w) for w in vocabulary], model.lexica, buckets)
     weights, gain = np.zeros((buckets, size)), np.full((buckets, size), 1e-6)
     step, step_gain = np.zeros((size, size)), np.full((size, size), 1e-6)
     start, start_gain = np.zeros(size), np.full(size, 1e-6)
@@ -237,7 +261,7 @@ def fit(samples: list[tuple[str, str]], buckets: int = 1 << 16, epochs: int = 5,
                 total += grad * grad
                 value += rate * grad / np.sqrt(total)
     model.weights, model.start, model.step = weights.astype(np.float32), np.exp(start), np.exp(step)
-    model.table = np.zeros((1024, size), np.float32)
+    model.table = np.zeros((0, size), np.float32)
     return model
 
 
