@@ -28,10 +28,12 @@ class Split:
 def balanced_split(flows: DataFrame, ratio: float = 1.0, seed: int = 42, **tuning: int) -> Split:
     """File statistics -> manifest -> quotas -> split rows.
 
-    The manifest is written once: it is small, read several times, and its
-    known size lets Spark choose the join.
+    Statistics and manifest are written once: they are small, read several times, and
+    their known size lets Spark choose the join. Without the first, each of the
+    manifest's two walks would scan the flows anew.
     """
-    manifest = settle(train_attack_quotas(split_manifest(file_stats(flows)), ratio), "manifest")
+    stats = settle(file_stats(flows), "file-stats")
+    manifest = settle(train_attack_quotas(split_manifest(stats), ratio), "manifest")
     return Split(manifest, sampling.sample_files(flows, manifest, seed, **tuning))
 
 

@@ -3,6 +3,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import TABLES, compare
+from workload.oracles import ORACLES
+from workload.queries import REGISTRY
 
 LEARNERS = {"train_boosted", "train_forest", "train_multiclass", "feature_importance", "cascade_models", "train_and_judge"}
 
@@ -16,7 +18,8 @@ def db(sf):
 
 
 def test_every_query_but_the_learners_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == LEARNERS
+    assert set(REGISTRY) - set(ORACLES) == LEARNERS
+    assert set(ORACLES) <= set(REGISTRY) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -27,7 +30,7 @@ def test_flagship(spark):
     assert sum(r.benign for r in train) == sum(r.attack for r in train)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - LEARNERS))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - LEARNERS))
 def test_query_matches_sql(spark, sf, db, name):
     df = contract.queries()[name](spark, sf)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -656,3 +656,14 @@ ORACLES["audit_summary"] = f"""WITH {OVERLAP}, {BALANCE}, {COVERAGE}, checks AS
   UNION ALL SELECT 'PASS' FROM range(3 + 5 + 6))
 SELECT count(*) AS total_checks, count(*) FILTER (status = 'PASS') AS passed, count(*) FILTER (status = 'FAIL') AS failed,
   (count(*) FILTER (status = 'FAIL') = 0)::INT AS all_passed FROM checks"""
+
+
+# ---- learners on rules that trees reproduce --------------------------------------------------
+
+_CLASS_RULE = """CASE WHEN "Flow Duration" <= 15 THEN 0 WHEN "Flow Duration" <= 35 THEN 1 ELSE 2 END"""
+ORACLES["learned_rule"] = f"""WITH {FLOWS} SELECT row_key, ("Flow Duration" > 25)::INT AS prediction FROM flows"""
+ORACLES["learned_classes"] = f"""WITH {FLOWS} SELECT row_key, {_CLASS_RULE} AS pred FROM flows"""
+ORACLES["learned_confusion"] = f"""WITH {FLOWS}, ruled AS (SELECT {_CLASS_RULE} AS class_id FROM flows)
+SELECT y::INT AS y, pred::INT AS pred, (SELECT count(*) FROM ruled WHERE class_id = y AND y = pred) AS n
+FROM range(3) a(y), range(3) b(pred)"""
+ORACLES["learned_top_feature"] = f"""WITH {FLOWS} SELECT 'Flow Duration' AS feature WHERE (SELECT count(*) FROM flows) > 0"""

@@ -701,6 +701,52 @@ def train_and_judge(spark, sf_dir):
     return jobs.train_and_judge(rows, VECTOR_FEATURES, "y", **_SMALL_BOOST).metrics
 
 
+# ---- learners on rules that trees reproduce: checked against SQL ------------------------------
+
+
+def _ruled(spark, sf_dir):
+    """All flows with a binary and a three-class label that follow from one feature; the others are noise."""
+    rows = cleaning.zero_clean(proxies.flows(spark, sf_dir), FEATURES[:4])
+    split = F.when(F.pmod(F.xxhash64("row_key"), F.lit(10)) < 7, "train").when(F.pmod(F.xxhash64("row_key"), F.lit(10)) < 8, "val").otherwise("test")
+    duration = F.col(FEATURES[0])
+    return rows.select(
+        "row_key", *FEATURES[:4], split.alias("split"), (duration > 25).cast("int").alias("y"),
+        F.when(duration <= 15, 0).when(duration <= 35, 1).otherwise(2).alias("class_id"))
+
+
+_RULE_TREES = {"maxDepth": 3, "maxBins": 64}
+
+
+@query
+def learned_rule(spark, sf_dir):
+    """Boosted trees on the training rows, stopped on the validation rows, predict every row."""
+    rows = _ruled(spark, sf_dir)
+    model = models.train_boosted(rows.where("split = 'train'"), rows.where("split = 'val'"), FEATURES[:4], maxIter=4, **_RULE_TREES)
+    return models.score_binary(rows, model).select("row_key", decide(F.col("p"), 0.5).alias("prediction"))
+
+
+def _class_forest(rows):
+    return models.train_forest(rows.where("split = 'train'"), FEATURES[:4], "class_id", numTrees=5, featureSubsetStrategy="all", **_RULE_TREES)
+
+
+@query
+def learned_classes(spark, sf_dir):
+    rows = _ruled(spark, sf_dir)
+    return models.score_classes(rows, _class_forest(rows)).select("row_key", argmax_index(F.col("probs")).alias("pred"))
+
+
+@query
+def learned_confusion(spark, sf_dir):
+    rows = _ruled(spark, sf_dir)
+    scored = models.score_classes(rows, _class_forest(rows)).withColumn("pred", argmax_index(F.col("probs")))
+    return multiclass_eval.confusion_cells(scored, 3, y="class_id")
+
+
+@query
+def learned_top_feature(spark, sf_dir):
+    return models.feature_importance(_class_forest(_ruled(spark, sf_dir)), spark, 1).select("feature")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, split without leaks, balance: rows of each family per split."""
     split = settle(jobs.balanced_split(proxies.flows(spark, sf_dir)).rows, "split")
