@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.common import held_out
 from flowloom.llm.near_dedup import GOLD, mix
+from flowloom.session import settle
 
 CHAIN = 128
 WINDOW = 32
@@ -272,7 +273,8 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("h"), "h", "text"))
     first = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("h"), "h")))
-    wanted = first.filter(F.col("n") <= per_language).select("lang", "h")
+    # written, so that its size is known and the texts are not shuffled to join it
+    wanted = settle(first.filter(F.col("n") <= per_language).select("lang", "h"), "language-sample")
     chosen = rows.join(wanted, ["lang", "h"]).withColumn("n", place).dropDuplicates(["lang", "h"]).select("lang", "h", "text").collect()
     return fit([(r["lang"], r["text"]) for r in sorted(chosen, key=lambda r: (r["lang"], r["h"]))])
 
