@@ -1,14 +1,12 @@
-"""Benchmark decontamination by SimHash windows, multi-index Hamming search and exact verification.
-
-A window is a run of words of a document as long as a benchmark item. Windows are
-fingerprinted where they can pass: a window of similarity s shares at least s of the item's
-shingles, so only documents with so many of them are cut, at the places that align
-one of these shingles with its place in the item. Which item a window is like is
-then left to its fingerprint: a 64-bit SimHash over its words. The fingerprints of
-windows and items are cut into radius + 1 blocks; two within the radius have one block in
-common, so a join on (number of words, block, bits) finds all of them. Pairs within the
-radius are verified by the weighted Jaccard similarity of their word shingles (weight: how
-often a shingle stands there).
+"""Benchmark decontamination by item-sized windows: shingle places, exact verification, SimHash distance.
+
+A window is a run of words of a document as long as a benchmark item, or the whole of a
+shorter document. Its similarity is the weighted Jaccard similarity of the word shingles
+(weight: how often a shingle stands there). A window of similarity s shares at least
+2s / (1 + s) of as many shingles as it and the item have on average, so only documents with
+so many places of an item's shingles are looked at, and there every window that can be the
+first most similar one (`best_window`), wherever the shared shingles stand in the item. The
+window found and the item are fingerprinted: a 64-bit SimHash over the words.
 
 Words are lower-cased runs of letters and digits, shingles have `k` of them; a text
 of fewer words is one shingle, so a short item is found only as a whole document.
@@ -78,42 +76,61 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """One row per document id and item it holds: doc_id, item_id, start, n_words, distance, similarity.
 
     start counts words from 0; of several windows the most similar one is given, the first of
-    these. Null or empty texts and items hold nothing and are held by nothing; repeated
-    rows give one row; a null id is a row's id like any other; an empty table gives no rows.
-    Other columns are not read.
+    these. A document shorter than an item is one window. Null or empty texts and items hold
+    nothing and are held by nothing; repeated rows give one row; a null id is a row's id like
+    any other; an empty table gives no rows. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col)).alias("key"))
     items = settle(benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text_col)).alias("words")).distinct()
                    .filter(F.size("words") > 0).withColumn("item_key", F.xxhash64("item", "words"))
                    .withColumn("shingles", shingles_of(F.col("words"), k)), "leak-items")
-    of_items = items.select("item_key", F.size("shingles").alias("wanted"), F.size("words").alias("n_words"), F.posexplode("shingles").alias("place", "shingle"))
-    # which documents hold enough shingles of an item, and where they put it
-    met = settle(rows.select("key", F.posexplode(shingles_of(words_of(F.col("text")), k)).alias("at", "shingle"))
-                 .join(settle(of_items, "leak-shingles"), "shingle")
-                 .groupBy("key", "item_key", "wanted", "n_words", (F.col("at") - F.col("place")).alias("start")).agg(F.count("*").alias("n")), "leak-places")
-    enough = met.groupBy("key", "item_key").agg(F.sum("n").alias("n"), F.first("wanted").alias("wanted")).filter(F.col("n") >= similarity * F.col("wanted"))
-    cuts = settle(met.join(enough.select("key", "item_key"), ["key", "item_key"]).select("key", F.greatest("start", F.lit(0)).alias("start"), "n_words").distinct(), "leak-cuts")
-    texts = settle(rows.join(cuts.select("key").distinct(), "key").groupBy("key").agg(F.first("id").alias("id"), F.first("text").alias("text"))
+    of_items = (items.select("item_key", F.size("shingles").alias("wanted"), F.size("words").alias("n_words"), F.explode("shingles").alias("shingle"))
+                .groupBy("item_key", "wanted", "n_words", "shingle").agg(F.count("*").cast("int").alias("times")))
+    # where a document holds shingles of an item; `before` is the same shingle's place `times` earlier
+    held = rows.select("key", shingles_of(words_of(F.col("text")), k).alias("all")).withColumn("held", F.size("all"))
+    met = (held.select("key", "held", F.posexplode("all").alias("at", "shingle")).join(settle(of_items, "leak-shingles"), "shingle")
+           .groupBy("key", "held", "item_key", "wanted", "n_words", "times", "shingle").agg(F.array_sort(F.collect_set("at")).alias("at")))
+    marks = F.transform("at", lambda x, i: F.struct(x.alias("at"), F.coalesce(F.get("at", i - F.col("times")), F.lit(-1)).alias("before")))
+    pairs = settle(met.groupBy("key", "held", "item_key", "wanted", "n_words").agg(F.array_sort(F.flatten(F.collect_list(marks))).alias("marks"))
+                   .withColumn("have", F.least("wanted", "held"))
+                   .withColumn("need", F.greatest(F.lit(1), F.ceil(similarity * (F.col("wanted") + F.col("have")) / (1 + similarity) - 1e-9)).cast("int"))
+                   .filter(F.size("marks") >= F.col("need")), "leak-pairs")
+    like = (pairs.withColumn("best", best_window()).filter(F.col("best").isNotNull())
+            .withColumn("similarity", F.col("best.both") / (F.col("wanted") + F.col("have") - F.col("best.both"))).filter(F.col("similarity") >= similarity)
+            .select("key", "item_key", "similarity", (-F.col("best.back")).alias("start"), (F.col("n_words") - F.col("wanted") + F.col("have")).alias("n_words")))
+    like = settle(like, "leak-windows")
+    texts = settle(rows.join(like.select("key").distinct(), "key").groupBy("key").agg(F.first("id").alias("id"), F.first("text").alias("text"))
                    .select("key", "id", words_of(F.col("text")).alias("all")), "leak-texts")
-    windows = settle(cuts.join(texts.select("key", "all"), "key").select(
-        "key", "start", F.slice("all", F.col("start") + 1, F.col("n_words")).alias("words")).filter(F.size("words") > 0), "leak-windows")
-    prints = with_simhash(windows, ["key", "start"])
-    item_prints = with_simhash(items.withColumnRenamed("item_key", "item_row"), ["item_row"]).withColumnRenamed("item_row", "item")
-    close = within_radius(prints, item_prints, radius)
-    # exact similarity: shingles that both have, as often as both have them
-    here = (close.join(windows.withColumn("n_words", F.size("words")), ["key", "start", "n_words"])
-            .select("key", "start", "item", "n_words", "distance", F.explode(shingles_of(F.col("words"), k)).alias("shingle"))
-            .groupBy("key", "start", "item", "n_words", "distance", "shingle").agg(F.count("*").alias("a")))
-    there = of_items.groupBy(F.col("item_key").alias("item"), "wanted", "shingle").agg(F.count("*").alias("b"))
-    common = here.join(there, ["item", "shingle"]).groupBy("key", "start", "item", "n_words", "distance", "wanted").agg(F.sum(F.least("a", "b")).alias("both"))
-    like = common.withColumn("similarity", F.col("both") / (2 * F.col("wanted") - F.col("both"))).filter(F.col("similarity") >= similarity)
-    best = like.groupBy("key", "item").agg(F.max_by(F.struct("start", "n_words", "distance", "similarity"), F.struct("similarity", -F.col("start"))).alias("best"))
-    named = best.join(texts.select("key", "id"), "key").join(items.select(F.col("item_key").alias("item"), F.col("item").alias("item_id")), "item")
+    windows = like.join(texts, "key").select("key", "item_key", F.slice("all", F.col("start") + 1, F.col("n_words")).alias("words"))
+    prints = with_simhash(windows, ["key", "item_key"]).drop("n_words")
+    item_prints = with_simhash(items, ["item_key"]).select("item_key", F.col("fingerprint").alias("print"))
+    apart = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("print"))).alias("distance")
+    close = prints.join(item_prints, "item_key").select("key", "item_key", apart).filter(F.col("distance") <= radius)
+    best = like.join(close, ["key", "item_key"]).withColumn("best", F.struct("start", "n_words", "distance", "similarity"))
+    named = best.join(texts.select("key", "id"), "key").join(items.select("item_key", F.col("item").alias("item_id")), "item_key")
     return named.groupBy(F.col("id").alias(id_col), F.col("item_id").alias(item_col)).agg(
         F.max_by("best", F.struct("best.similarity", -F.col("best.start"))).alias("best")).select(id_col, item_col, "best.*")
 
 
+def best_window() -> Column:
+    """(both, -start) of the most similar window of `wanted` shingles, the first of these; null where none holds `need` marks.
+
+    The first best window ends with a mark or starts the document: one place further left
+    would else hold as many. A mark counts where fewer than `times` of its shingle stand before it
+    in the window, so `both` is the sum over shingles of the smaller of both counts.
+    """
+    marks, wanted = F.col("marks"), F.col("wanted")
+
+    def ending(mark: Column, i: Column) -> Column:
+        start = F.greatest(mark["at"] - wanted + 1, F.lit(0))
+        inside = F.slice(marks, F.greatest(i - wanted + 2, F.lit(1)), F.least(wanted, i + 1))
+        both = F.size(F.filter(inside, lambda m: (m["at"] >= start) & (m["before"] < start)))
+        return F.when(F.get(marks, i - F.col("need") + 1)["at"] >= start, F.struct(both.alias("both"), (-start).alias("back")))
+
+    return F.array_max(F.transform(marks, ending))
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how: object) -> DataFrame:
     """The rows of `docs`, with all their columns, whose id holds no benchmark item."""
     leaks = settle(find_leaks(docs, benchmark, id_col=id_col, **how).select(F.col(id_col).alias("leaking_id")).distinct(), "leaks")

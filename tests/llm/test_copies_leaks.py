@@ -179,3 +179,19 @@ def test_leaks_of_the_table(spark, sf):
     items = [(r.item_id, squeeze(r.text)) for r in bench.collect()]
     exact = {(r.doc_id, i) for r in docs.collect() for i, t in items if t in squeeze(r.text)}
     assert exact and exact <= got
+
+
+def leaks(spark, docs, items):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+
+def test_leaks_cut_at_an_end_of_the_document(spark):
+    rng = random.Random(8)
+    item, fore = prose(rng, 59), prose(rng, 40)
+    docs = [fore + item[:-1], fore + item[:-4], item[:29] + item[30:], item[:-1], item[1:], item[2:] + fore, item[:-1] + item[:3], item[5:-8]]
+    docs = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    got = leaks(spark, docs, [(1, " ".join(item))])
+    want = brute_leaks(docs, [(1, " ".join(item))])
+    assert {k: r.similarity for k, r in got.items()} == pytest.approx(want) and {d for d, _ in want} == set(range(7))
+    assert (got[0, 1].start, got[0, 1].n_words) == (39, 59) and (got[3, 1].start, got[3, 1].n_words) == (0, 58)
