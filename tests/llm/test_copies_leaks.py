@@ -195,3 +195,17 @@ def test_leaks_cut_at_an_end_of_the_document(spark):
     want = brute_leaks(docs, [(1, " ".join(item))])
     assert {k: r.similarity for k, r in got.items()} == pytest.approx(want) and {d for d, _ in want} == set(range(7))
     assert (got[0, 1].start, got[0, 1].n_words) == (39, 59) and (got[3, 1].start, got[3, 1].n_words) == (0, 58)
+
+
+def test_leaks_of_reordered_items(spark):
+    rng = random.Random(9)
+    items = [(i, " ".join(prose(rng, n))) for i, n in enumerate([59, 80, 40])]
+    docs = []
+    for d in range(12):
+        words = items[d % 3][1].split()
+        at = rng.randrange(10, len(words) - 10)
+        docs.append((d, " ".join(prose(rng, 40) + words[at:] + words[:at] + prose(rng, 40))))
+    docs.append((20, items[0][1] + " " + " ".join(prose(rng, 3)) + " " + items[0][1]))
+    got, want = leaks(spark, docs, items), brute_leaks(docs, items)
+    assert {k: r.similarity for k, r in got.items()} == pytest.approx(want) and len(want) == 13
+    assert got[20, 0].start == 0
