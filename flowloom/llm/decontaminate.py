@@ -6,7 +6,8 @@ shorter document. Its similarity is the weighted Jaccard similarity of the word
 2s / (1 + s) of as many shingles as it and the item have on average, so only documents with
 so many places of an item's shingles are looked at, and there every window that can be the
 first most similar one (`best_window`), wherever the shared shingles stand in the item. The
-window found and the item are fingerprinted: a 64-bit SimHash over the words.
+window found and the item are fingerprinted: a 64-bit SimHash over the words, whose distance
+is given and rules nothing out. `within_radius` searches fingerprints where shingles are not at hand.
 
 Words are lower-cased runs of letters and digits, shingles have `k` of them; a text
 of fewer words is one shingle, so a short item is found only as a whole document.
@@ -72,7 +73,7 @@ def within_radius(windows: DataFrame, items: DataFrame, radius: int) -> DataFram
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-               item_text_col: str = "text", similarity: float = 0.8, k: int = 5, radius: int = 13) -> DataFrame:
+               item_text_col: str = "text", similarity: float = 0.8, k: int = 5) -> DataFrame:
     """One row per document id and item it holds: doc_id, item_id, start, n_words, distance, similarity.
 
     start counts words from 0; of several windows the most similar one is given, the first of
@@ -106,8 +107,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     prints = with_simhash(windows, ["key", "item_key"]).drop("n_words")
     item_prints = with_simhash(items, ["item_key"]).select("item_key", F.col("fingerprint").alias("print"))
     apart = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("print"))).alias("distance")
-    close = prints.join(item_prints, "item_key").select("key", "item_key", apart).filter(F.col("distance") <= radius)
-    best = like.join(close, ["key", "item_key"]).withColumn("best", F.struct("start", "n_words", "distance", "similarity"))
+    distances = prints.join(item_prints, "item_key").select("key", "item_key", apart)
+    best = like.join(distances, ["key", "item_key"]).withColumn("best", F.struct("start", "n_words", "distance", "similarity"))
     named = best.join(texts.select("key", "id"), "key").join(items.select("item_key", F.col("item").alias("item_id")), "item_key")
     return named.groupBy(F.col("id").alias(id_col), F.col("item_id").alias(item_col)).agg(
         F.max_by("best", F.struct("best.similarity", -F.col("best.start"))).alias("best")).select(id_col, item_col, "best.*")

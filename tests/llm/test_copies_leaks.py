@@ -209,3 +209,12 @@ def test_leaks_of_reordered_items(spark):
     got, want = leaks(spark, docs, items), brute_leaks(docs, items)
     assert {k: r.similarity for k, r in got.items()} == pytest.approx(want) and len(want) == 13
     assert got[20, 0].start == 0
+
+
+def test_leaks_of_far_fingerprints(spark):
+    rng = random.Random(11)
+    item = prose(rng, 100)
+    docs = [(d, " ".join(prose(rng, 40) + item[10:] + prose(rng, 30))) for d in range(200)]
+    got = leaks(spark, docs, [(1, " ".join(item))])
+    assert len(got) == 200 and all(r.similarity == pytest.approx(86 / 106) for r in got.values())
+    assert max(r.distance for r in got.values()) > 13
