@@ -4,8 +4,9 @@ Terms are lower-cased words and the proper beginnings of 5 and 7 letters of long
 words; all words without a kept term count as one more term of weight `plain_weight`, so
 that a single mention in a long text is near to texts without any. From a bounded, hash-chosen sample of labelled texts (`per_class` of either
 label, each different text once) the terms that go with the label are kept: those
-in enough toxic texts whose share there is `least_lift` times that among clean texts or more,
-by `z` standard errors or more; a large sample would else keep words of any small difference. Half of the sample are the examples, half calibrate.
+in 4 toxic texts or more whose share there is `least_lift` times that among clean texts or more,
+by `z` standard errors or more; a large sample would else keep words of any small difference. No share of
+the toxic texts is asked for, so insults of a small language or source are terms too. Half of the sample are the examples, half calibrate.
 
 The examples form a block-max inverted index: postings by term, examples in blocks of 64,
 with the largest weight of each term in each block. The bounds that a text's weights and the block
@@ -190,7 +191,7 @@ class Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          per_class: int = 6000, vocabulary: int = 4096, z: float = 5.0, least_lift: float = 3.0, least_share: float = 0.01, neighbours: int = 15,
+          per_class: int = 6000, vocabulary: int = 4096, z: float = 5.0, least_lift: float = 3.0, neighbours: int = 15,
           prior_votes: float = 0.2, plain_weight: float = 0.75) -> Model:
     """Model from the labelled texts outside the held-out fold; per_class bounds the sample."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -216,7 +217,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = (F.col("t") + F.col("c") + 1) / (n0 + n1 + 2)
     strength = F.abs(F.col("t") / max(1, n1) - F.col("c") / max(1, n0)) / F.sqrt(share * (1 - share) * (1 / max(1, n0) + 1 / max(1, n1)))
     lift = (F.col("t") + 0.5) / max(1, n1) >= least_lift * (F.col("c") + 0.5) / max(1, n0)
-    kept = (counted.withColumn("z", strength).filter((F.col("z") >= z) & lift & (F.col("t") >= max(4, least_share * n1)))
+    kept = (counted.withColumn("z", strength).filter((F.col("z") >= z) & lift & (F.col("t") >= 4))
             .orderBy(F.col("z").desc(), "term").limit(vocabulary).collect())
     idf = np.append(np.log((1 + n0 + n1) / np.array([1 + r["t"] + r["c"] for r in kept], dtype=float)), plain_weight)
     model = Model({r["term"]: i for i, r in enumerate(kept)}, idf, neighbours, prior_votes)

@@ -114,3 +114,20 @@ def test_toxicity_edge_cases(spark, toxic):
     assert all(0 <= r.score <= 1 and r.predicted == 0 for r in toxicity.score_texts(odd, none).collect())
     assert all(r.predicted == 0 for r in toxicity.score_texts(odd, toxicity.learn(docs, labels.limit(0))).collect())
     assert toxicity.score_texts(odd.limit(0), model).count() == 0
+
+
+def test_insults_of_a_small_share_are_terms(spark):
+    rng = np.random.default_rng(5)
+    plain = [f"{a}{b}" for a in ("wal", "tor", "min", "sed", "lun") for b in ("ka", "ro", "ti", "su", "pe", "no")]
+    rows = []
+    for i in range(10_000):
+        insult = [] if i % 2 else ["zorgle" if i % 200 == 0 else "blagge"]
+        rows.append((i, " ".join([*rng.choice(plain, 12), *insult]), 1 - i % 2))
+    rare = [i for i, t, _ in rows if "zorgle" in t][:40]  # under 1 % of the toxic texts
+    rows = [r for r in rows if "zorgle" not in r[1] or r[0] in rare]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert {"zorgle", "blagge"} <= set(model.terms)
+    got = {r.doc_id: r for r in toxicity.score_texts(docs.select("doc_id", "text"), model).collect()}
+    held = [got[i].predicted for i in rare if fold(i)]
+    assert held and all(held) and not any(got[i].predicted for i, _, y in rows if not y)
