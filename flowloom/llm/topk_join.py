@@ -6,8 +6,8 @@ query q and a vector x of the cell of pivot c,
 
     q.c - |q| d  <=  q.x  <=  q.c + |q| d.
 
-A summary of each cell (rows, largest d, the k + 1 smallest d) gives each query a
-floor under its k-th score: k + 1 vectors, one of which may be its own, reach it. A
+A summary of each cell (rows, largest d, the smallest d of the k + 1 nearest ids) gives each
+query a floor under its k-th score: k vectors of other ids reach it. A
 query is sent only to the cells whose bound for the largest d reaches its floor, and
 there meets only the vectors whose own d does. Queries move and not the data, since
 there are fewer of them. Cells are cut into blocks of about `block_rows` vectors and the
@@ -74,8 +74,8 @@ def top_k(data: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
     the same length. Ties go to the smaller id; with fewer candidates all are returned.
     Null ids and vectors that are null, empty or hold null or non-finite components
     take no part. A repeated query row counts once, repeated candidates each for
-    themselves. An empty table gives no rows; other columns are not read. `pivots` is the bound of the collected sample; cells of
-    each vector length are summarised by at most k + 1 distances.
+    themselves. An empty table gives no rows; other columns are not read. `pivots` is the bound of the collected sample,
+    and one vector of each length that it misses; cells are summarised by at most k + 1 distances.
     """
     spark = data.sparkSession
     rows = data.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"), is_query.alias("q"))
@@ -83,14 +83,14 @@ def top_k(data: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
     chosen: dict[int, list] = {}
     for row in sample_by_hash(rows.select("id", "v"), F.col("id"), pivots).collect():
         chosen.setdefault(len(row.v), []).append(row.v)
-    for (dim,) in rows.select(F.size("v")).distinct().limit(pivots).collect():  # lengths that the sample has missed
-        if dim not in chosen:
-            chosen[dim] = [rows.filter(F.size("v") == dim).select("v").first().v]
+    missed = rows.filter(~F.size("v").isin(list(chosen)))  # lengths that the sample has missed: a row a length
+    for row in missed.groupBy(F.size("v").alias("dim")).agg(F.min("v").alias("v")).collect():
+        chosen[row.dim] = [row.v]
     centres = {dim: np.unique(np.array(v, dtype=np.int64), axis=0) for dim, v in chosen.items()}
     cells = settle(_with_cells(rows.select("id", "v"), centres), "topk-cells")
-    nearest = W.partitionBy("dim", "cell").orderBy("d")
-    least = (cells.select("dim", "cell", "d").withColumn("n", F.row_number().over(nearest)).filter(F.col("n") <= k + 1)
-             .groupBy("dim", "cell").agg(F.sort_array(F.collect_list("d")).alias("least")))
+    nearest = W.partitionBy("dim", "cell").orderBy("d", "id")
+    least = (cells.groupBy("dim", "cell", "id").agg(F.min("d").alias("d")).withColumn("n", F.row_number().over(nearest)).filter(F.col("n") <= k + 1)
+             .groupBy("dim", "cell").agg(F.sort_array(F.collect_list(F.struct("d", "id"))).alias("least")))
     summary = {(r["dim"], r["cell"]): r for r in cells.groupBy("dim", "cell").agg(F.count("*").alias("rows"), F.max("d").alias("far"))
                .join(least, ["dim", "cell"]).collect()}  # a row a pivot
     queries = rows.filter("q").select("id", "v").distinct()
@@ -106,8 +106,8 @@ def top_k(data: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
                     continue
                 q, norm = np.array(v, dtype=np.float64), float(np.linalg.norm(np.array(v, dtype=np.float64)))
                 base = {key: float(centres[key[0]][key[1]].astype(np.float64) @ q) for key in mine}
-                sure = sorted((base[key] - norm * d for key in mine for d in summary[key]["least"]), reverse=True)
-                floor = sure[k] if len(sure) > k else -np.inf
+                sure = sorted((base[key] - norm * d for key in mine for d, i in summary[key]["least"] if i != qid), reverse=True)
+                floor = sure[k - 1] if len(sure) >= k else -np.inf
                 floor -= 1e-9 * abs(floor) + 1e-3 if np.isfinite(floor) else 0  # for rounding
                 for key in mine:
                     if base[key] + norm * summary[key]["far"] >= floor:

@@ -27,6 +27,21 @@ def test_top_k_is_brute_force(spark):
     assert topk_join.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_repeated_queries_and_many_lengths(spark):
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        rows = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(1, 50)] + [(50 * i, [float(x) for x in rng.normal(size=3) * 2]) for i in range(1, 30)] * 7
+        rows += [(50, [0.5, 0.25, float(i)]) for i in range(8)]  # one id with other vectors
+        if not seed:
+            rows += [(j, [1.0 + j % 7] * n) for n in range(4, 84) for j in (5000 + 50 * n, 20_000 + n, 30_000 + n)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        got = topk_join.top_k(df, F.col("vec_id") % 50 == 0).collect()
+        sort = lambda rs: sorted((q, s, j) for q, _, j, s in rs)
+        want = brute([(r.vec_id, r.embedding) for r in df.collect()])
+        one = [r for r in want if r[0] != 50]
+        assert sort((r.query_id, r["rank"], r.vec_id, r.score) for r in got if r.query_id != 50) == sort(one)
+
+
 def rendered(turns):
     return "".join(f"<|im_start|>{r or 'unknown'}\n{(t or '').replace('<|im_end|>', chr(60) + chr(92) + '|im_end|>')}<|im_end|>\n" for r, t in turns)
 
