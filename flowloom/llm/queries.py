@@ -13,12 +13,15 @@ from flowloom.llm import (
     common,
     decontaminate,
     language_id,
+    merkle_manifest,
     near_dedup,
     page_text,
+    periodic_runs,
     token_counts,
     topk_join,
     toxicity,
     url_filter,
+    vector_dedup,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +88,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_near_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
+@register("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return periodic_runs.digests(periodic_runs.find_runs(docs, edit=periodic_runs.looped))
+
+
+@register("op12_merkle_manifest", merkle_manifest.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.tampering_check(common.table(spark, sf_dir, "documents"))
+
+
+@register("op13_vector_dedup", vector_dedup.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(common.table(spark, sf_dir, "embeddings"))
