@@ -1,8 +1,9 @@
 """Packets to bidirectional flows.
 
 A flow is a run of packets between two endpoints without an idle gap. A busy
-endpoint pair may hold a large part of all packets, so packets are first
-grouped per pair *and* time slice, where runs and gaps are worked out. Only runs
+endpoint pair may hold a large part of all packets, so packets are first counted per pair
+and minute, and pairs with more packets than a slice may hold are cut at quantiles of
+those counts. Runs and gaps are worked out within a slice. Only runs
 that touch a slice edge can continue in the next slice; those few are joined up
 per pair afterwards, all other runs are finished flows and stay spread out.
 Lengths and microsecond gaps are summed as whole numbers, so the result does not
@@ -14,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from flowloom.session import settle
 
 KEY = ["endpoint_a", "endpoint_b", "protocol"]
 FLAGS = ["fin", "syn", "rst", "psh", "ack", "urg", "cwr", "ece"]
@@ -131,13 +135,60 @@ _HIGH = [f"{m}_{s}" for s in SIDES for m in ("lenmax", "last")] + ["last_us"]
 _GAPS = ["gap", *[f"gap_{s}" for s in SIDES]]
 
 
-def _runs(packets: DataFrame, gap_us: int, slice_us: int) -> DataFrame:
+def _place(us_step: int, id_step: int | None = None) -> list[Column]:
+    """Start of the cell that a packet is counted in: so many microseconds or, within one microsecond, so many ids."""
+    ids = F.floor(F.col("packet_id") / id_step) * id_step if id_step else F.lit(0)
+    return [(F.floor(F.col("us") / us_step) * us_step).alias("at_us"), ids.cast("long").alias("at_id")]
+
+
+def busy_slices(packets: DataFrame, slice_rows: int, cell_us: int) -> DataFrame:
+    """(pair, cell, first, starts): for each counted cell of the pairs with more than `slice_rows` packets
+    the slice it begins in and where the slices within it start.
+
+    Cells with more than half a slice are counted anew in narrower ones, down to the microsecond and, where packet
+    ids are whole numbers, to ids within it. Slices are whole cells, so none holds more than `slice_rows`
+    packets. The tables grow with the busy pairs' minutes and slices, not with their packets.
+    """
+    half = max(1, slice_rows // 2)
+    steps = [(cell_us,)] + [(u,) for u in (1_000_000, 1_000, 1) if u < cell_us]
+    if isinstance(packets.schema["packet_id"].dataType, IntegralType):
+        steps += [(1, i) for i in (1 << 24, 1 << 12, 1)]
+    keys = [*KEY, "at_us", "at_id"]
+    packets = packets.select(*KEY, "us", "packet_id")
+    cells = packets.select(*KEY, *_place(*steps[0])).groupBy(*keys).agg(F.count("*").alias("n"))
+    cells = cells.withColumn("whole", F.sum("n").over(W.partitionBy(*KEY))).filter(F.col("whole") > slice_rows).drop("whole")
+    cells = settle(cells, "packet-cells")
+    pieces = cells.filter(F.col("n") <= half)
+    for wide, narrow in zip(steps, steps[1:]):
+        heavy = cells.filter(F.col("n") > half)
+        if heavy.isEmpty():
+            break
+        held = packets.select(*KEY, "us", "packet_id", *_place(*wide)).join(heavy.select(*keys), keys)
+        cells = settle(held.select(*KEY, *_place(*narrow)).groupBy(*keys).agg(F.count("*").alias("n")), "packet-cells")
+        pieces = pieces.unionByName(cells.filter(F.col("n") <= half) if narrow != steps[-1] else cells)
+    before = F.sum("n").over(W.partitionBy(*KEY).orderBy("at_us", "at_id").rowsBetween(W.unboundedPreceding, -1))
+    pieces = pieces.withColumn("slice", F.floor(F.coalesce(before, F.lit(0)) / half)).withColumn("cell", F.floor(F.col("at_us") / cell_us))
+    starts = pieces.groupBy(*KEY, "cell", "slice").agg(F.min(F.struct("at_us", "at_id")).alias("start"))
+    starts = starts.groupBy(*KEY, "cell").agg(F.min("slice").alias("first"), F.sort_array(F.collect_list("start")).alias("starts"))
+    return settle(starts, "packet-slices")
+
+
+def sliced(packets: DataFrame, slice_rows: int, cell_us: int) -> DataFrame:
+    """Packets with their slice: 0 for the packets of quiet pairs."""
+    slices = busy_slices(packets, slice_rows, cell_us)
+    at = F.struct(F.col("us").alias("at_us"), (F.col("packet_id").cast("long") if isinstance(packets.schema["packet_id"].dataType, IntegralType) else F.lit(0).cast("long")).alias("at_id"))
+    number = F.col("first") + F.size(F.filter("starts", lambda s: s <= at)) - 1
+    cut = packets.withColumn("cell", F.floor(F.col("us") / cell_us)).join(slices, [*KEY, "cell"], "left")
+    return cut.withColumn("slice", F.coalesce(number, F.lit(0))).drop("cell", "first", "starts")
+
+
+def _runs(packets: DataFrame, gap_us: int) -> DataFrame:
     """Gap-free runs inside one time slice of one endpoint pair, numbered in time order."""
     cell = [*KEY, "slice"]
     order = W.partitionBy(*cell).orderBy("us", "packet_id")
     before = order.rowsBetween(W.unboundedPreceding, -1)
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    step = packets.withColumn("slice", F.floor(F.col("us") / slice_us)).withColumns(
+    step = packets.withColumns(
         {"_prev": F.lag("us").over(order)}
         | {f"_prev_{s}": F.last(F.when(F.col("side") == s, F.col("us")), True).over(before) for s in SIDES}
     )
@@ -342,14 +393,16 @@ def _flow_features(flows: DataFrame, gaps: bool) -> DataFrame:
     return flows.select("endpoint_a", "endpoint_b", *[c.alias(name) for name, c in out.items()])
 
 
-def packets_to_flows(packets: DataFrame, gap_seconds: float, slice_seconds: float = 3600.0) -> DataFrame:
+def packets_to_flows(packets: DataFrame, gap_seconds: float, slice_rows: int = 1_000_000, cell_seconds: float = 60.0) -> DataFrame:
     """One row per flow with length, direction, flag, rate and inter-arrival features.
 
-    One slice of the busiest pair is sorted in one task: shorten the slice for
-    heavier traffic, any length gives the same flows.
+    At most `slice_rows` packets are sorted in one task; the slices and `cell_seconds`, the width in which packets are
+    counted first, don't change the flows. If packet ids are not whole numbers, the
+    packets of a pair with the same microsecond stay in one slice.
     """
-    gap_us, slice_us = int(gap_seconds * 1_000_000), int(slice_seconds * 1_000_000)
-    runs = _runs(with_pair(packets), gap_us, slice_us)
+    gap_us = int(gap_seconds * 1_000_000)
+    paired = with_pair(packets)
+    runs = _runs(sliced(paired, slice_rows, max(1, int(cell_seconds * 1_000_000))), gap_us)
     return _flow_features(_joined_runs(runs, gap_us), gaps=True)
 
 

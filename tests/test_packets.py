@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowloom.contracts import FEATURES_71
+from flowloom.operators import packets
 from flowloom.operators.packets import FLAGS, flows_in_session_windows, packets_to_flows
 from flowloom.streaming.live import run_available, stream_flows
 
@@ -82,14 +83,14 @@ def brute(rows, gap):
     return out
 
 
-@pytest.mark.parametrize("slice_seconds", [7, 60, 100_000])
-def test_flows_match_a_plain_walk_for_any_slice(spark, slice_seconds):
-    rows = make(600, seed=slice_seconds)
+@pytest.mark.parametrize("slice_rows", [7, 60, 100_000])
+def test_flows_match_a_plain_walk_for_any_slice(spark, slice_rows):
+    rows = make(600, seed=slice_rows)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     expected = brute(rows, 30)
     start_us = int(START.timestamp() * 1e6)
     got = {(r["endpoint_a"], r["_us"] - start_us): r for r in
-           packets_to_flows(df, 30, slice_seconds).withColumn("_us", F.unix_micros("flow_start")).collect()}
+           packets_to_flows(df, 30, slice_rows).withColumn("_us", F.unix_micros("flow_start")).collect()}
     assert set(got) == set(expected)
     assert not set(FEATURES_71) - set(next(iter(got.values())).asDict())
     for key, cells in expected.items():
@@ -97,6 +98,45 @@ def test_flows_match_a_plain_walk_for_any_slice(spark, slice_seconds):
             assert math.isclose(got[key][name], value, rel_tol=1e-9, abs_tol=1e-6), (key, name, got[key][name], value)
 
 
+def hot(n):
+    """Nearly all packets belong to one pair, a third of those to one second and a quarter of those to one microsecond."""
+    rows = make(n, seed=3)
+    for i, r in enumerate(rows):
+        if i % 20:
+            ends = [("h0", 1000), ("s", 443)]
+            at = START + timedelta(seconds=50) if i % 12 == 1 else START + timedelta(seconds=50, microseconds=i % 997) if i % 3 == 1 else r[5]
+            rows[i] = (*ends[i % 2], *ends[1 - i % 2], 6, at, *r[6:])
+    return rows
+
+
+@pytest.mark.parametrize(("slice_rows", "cell_seconds"), [(40, 60), (40, 0.01), (200, 3600), (3, 60)])
+def test_slices_of_a_busy_pair_are_bounded_and_in_order(spark, slice_rows, cell_seconds):
+    df = spark.createDataFrame(hot(900), SCHEMA).repartition(4)
+    paired = packets.with_pair(df)
+    cut = packets.sliced(paired, slice_rows, int(cell_seconds * 1e6)).select("endpoint_a", "slice", "us", "packet_id").collect()
+    assert len(cut) == 900
+    sizes, pair = {}, sorted((r.us, r.packet_id, r.slice) for r in cut if r.endpoint_a == "h0:1000")
+    for r in cut:
+        sizes[r.endpoint_a, r.slice] = sizes.get((r.endpoint_a, r.slice), 0) + 1
+    assert max(sizes.values()) <= slice_rows and len(pair) > 800
+    assert [s for *_, s in pair] == sorted(s for *_, s in pair)
+    assert len(sizes) <= 4 * 900 // slice_rows + 3
+
+
+def test_flows_of_a_busy_pair_are_those_of_a_plain_walk(spark):
+    rows = hot(900)
+    expected = brute(rows, 30)
+    start_us = int(START.timestamp() * 1e6)
+    df = spark.createDataFrame(rows, SCHEMA)
+    named = df.withColumn("packet_id", F.format_string("%09d", "packet_id"))  # ids that are no numbers
+    for given in (df, named):
+        got = {(r["endpoint_a"], r["_us"] - start_us): r for r in packets_to_flows(given, 30, 40).withColumn("_us", F.unix_micros("flow_start")).collect()}
+        assert set(got) == set(expected)
+        for key, cells in expected.items():
+            for name, value in cells.items():
+                assert math.isclose(got[key][name], value, rel_tol=1e-9, abs_tol=1e-6), (key, name, got[key][name], value)
+
+
 def test_gap_of_exactly_the_limit_stays_one_flow(spark):
     base = ("a", 1, "b", 2, 6)
     tail = (10, 20, 0, 0, *[0] * 8)

@@ -467,6 +467,8 @@ def _packet_columns(gaps: bool) -> str:
 
 
 ORACLES["packets_to_flows"] = f"WITH {PACKETS} SELECT {_packet_columns(True)} FROM whole GROUP BY user_id, flow"
+_BUSY = PACKETS.replace("1800000000", "600000000").replace("FROM events", "FROM (SELECT * REPLACE (CASE WHEN event_id % 20 <> 0 THEN 0 ELSE user_id END AS user_id) FROM events)")
+ORACLES["packets_to_flows_busy"] = f"WITH {_BUSY} SELECT {_packet_columns(True)} FROM whole GROUP BY user_id, flow"
 ORACLES["packets_to_flows_stream"] = f"""WITH {PACKETS}
 SELECT {_packet_columns(False)} FROM whole GROUP BY user_id, flow
 HAVING max(us) + 1800000000 <= (SELECT max(us) - 600000000 FROM packets)"""

@@ -385,13 +385,22 @@ _REAL = [
      "Packet Length Variance", "Average Packet Size", "Down/Up Ratio"]
 
 
-@query
-def packets_to_flows(spark, sf_dir):
-    found = packets.packets_to_flows(proxies.event_packets(spark, sf_dir), GAP_SECONDS)
+def _flow_rows(found):
     rounded = _rounded(found, [*_REAL, "Flow IAT Std", "Fwd IAT Std", "Bwd IAT Std", "Idle Mean", "Idle Std", "Active Mean", "Active Std"], 3)
     return rounded.withColumn("flow_start", F.unix_micros("flow_start"))
 
 
+@query
+def packets_to_flows(spark, sf_dir):
+    return _flow_rows(packets.packets_to_flows(proxies.event_packets(spark, sf_dir), GAP_SECONDS))
+
+
+@query
+def packets_to_flows_busy(spark, sf_dir):
+    """Nearly all packets belong to one endpoint pair, which is cut into slices of at most 1,000 packets."""
+    return _flow_rows(packets.packets_to_flows(proxies.busy_packets(spark, sf_dir), 600, slice_rows=1_000))
+
+
 @query
 def packets_to_flows_stream(spark, sf_dir):
     """The events file as a stream: flows finished by the watermark of ten minutes."""
