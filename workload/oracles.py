@@ -669,3 +669,7 @@ ORACLES["learned_confusion"] = f"""WITH {FLOWS}, ruled AS (SELECT {_CLASS_RULE}
 SELECT y::INT AS y, pred::INT AS pred, (SELECT count(*) FROM ruled WHERE class_id = y AND y = pred) AS n
 FROM range(3) a(y), range(3) b(pred)"""
 ORACLES["learned_top_feature"] = f"""WITH {FLOWS} SELECT 'Flow Duration' AS feature WHERE (SELECT count(*) FROM flows) > 0"""
+ORACLES["boosted_classes"] = f"""WITH {FLOWS} SELECT row_key, CAST(floor((coalesce("Flow Duration", 0) - 1) / 7) AS INT) AS pred FROM flows"""
+ORACLES["boosted_stopped"] = f"""WITH {FLOWS} SELECT row_key, ("Flow Duration" > 25)::INT AS prediction, true AS uses_lowest_loss, true AS ended_by_patience FROM flows"""
+ORACLES["boosted_leafwise"] = f"""WITH {FLOWS} SELECT row_key, ("Flow Duration" > 25)::INT AS prediction FROM flows"""
+ORACLES["boosted_importance"] = f"""WITH {FLOWS} SELECT 'Flow Duration' AS feature WHERE (SELECT count(*) FROM flows) > 0"""

@@ -12,6 +12,7 @@ from flowloom.functions import argmax_index, decide, named, string_hash
 from flowloom.operators import (
     audit,
     binary_eval,
+    boosting,
     cleaning,
     conversion,
     decisions,
@@ -756,6 +757,56 @@ def learned_top_feature(spark, sf_dir):
     return models.feature_importance(_class_forest(_ruled(spark, sf_dir)), spark, 1).select("feature")
 
 
+# ---- boosting grown on Spark, with validation and patience ----------------------------------
+
+
+def _boost_rows(spark, sf_dir):
+    """All flows with rules of two and of eight classes; `noisy` is the binary rule with one label in five turned over."""
+    rows = _ruled(spark, sf_dir)
+    turned = F.pmod(F.xxhash64("row_key", F.lit("noise")), F.lit(5)) == 0
+    return settle(rows.withColumns({
+        "held": F.col("split") == "val", "class8": F.floor((F.col(FEATURES[0]) - 1) / 7).cast("int"),
+        "noisy": F.when(turned, 1 - F.col("y")).otherwise(F.col("y"))}), "boost-fixture")
+
+
+@query
+def boosted_classes(spark, sf_dir):
+    """Eight classes by softmax boosting on the training rows, judged on the validation rows; every row is predicted."""
+    rows = _boost_rows(spark, sf_dir)
+    fit_on = decisions.row_weights(rows.where("split <> 'test'").withColumn("class_id", F.col("class8")), CLASS_WEIGHTS["flow71"])
+    model = boosting.train(fit_on, FEATURES[:4], "class8", 8, "held", "weight", rounds=5, step=0.6, depth=3)
+    return boosting.score(rows, model).select("row_key", argmax_index(F.col("probs")).alias("pred"))
+
+
+@query
+def boosted_stopped(spark, sf_dir):
+    """Noisy labels: rounds end `patience` after the lowest validation loss, whose round is the one used."""
+    rows = _boost_rows(spark, sf_dir)
+    model = boosting.train(rows.where("split <> 'test'"), FEATURES[:4], "noisy", held="held", rounds=500, patience=4, step=0.8, depth=3, least_rows=100)
+    told = boosting.score(rows, model).select("row_key", decide(F.col("probs")[1], 0.5).alias("prediction"))
+    lowest = model.losses.index(min(model.losses)) == model.best_round
+    return told.withColumns({
+        "uses_lowest_loss": F.lit(lowest), "ended_by_patience": F.lit(len(model.rounds) == model.best_round + 4 and len(model.rounds) < 500)})
+
+
+@query
+def boosted_leafwise(spark, sf_dir):
+    """Trees by leaf on drawn rows, continued from a first ensemble."""
+    rows = _boost_rows(spark, sf_dir)
+    how = {"held": "held", "leaves": 6, "at_once": 2, "top_share": 0.3, "rest_share": 0.3, "key": "row_key", "step": 0.5}
+    first = boosting.train(rows.where("split <> 'test'"), FEATURES[:4], "y", rounds=2, **how)
+    model = boosting.train(rows.where("split <> 'test'"), FEATURES[:4], "y", rounds=3, start=first, **how)
+    return boosting.score(rows, model).select("row_key", decide(F.col("probs")[1], 0.5).alias("prediction"))
+
+
+@query
+def boosted_importance(spark, sf_dir):
+    rows = _boost_rows(spark, sf_dir).where("split = 'train'")
+    share = boosting.train(rows, FEATURES[:4], "class8", 8, rounds=2, depth=3).importance()
+    top = max(share, key=share.get)
+    return rows.groupBy().agg(F.lit(top).alias("feature"), F.count("*").alias("_n")).where("_n > 0").drop("_n")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, split without leaks, balance: rows of each family per split."""
     split = settle(jobs.balanced_split(proxies.flows(spark, sf_dir)).rows, "split")
