@@ -12,6 +12,8 @@ depend on the order in which partial sums meet.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -298,7 +300,7 @@ def _deviation(n: Column, total: Column, squares: Column) -> Column:
     return F.when(n < 2, F.lit(0.0)).otherwise(spread / (n.cast("double") * (n - 1).cast("double")))
 
 
-def _flow_features(flows: DataFrame, gaps: bool) -> DataFrame:
+def flow_features(flows: DataFrame, gaps: bool, keep: Sequence[str] = ()) -> DataFrame:
     """Named flow features from merged sums; forward is the direction of the first packet."""
     fwd_is_a = F.col("opener") == 0
     zero = F.lit(0)
@@ -390,7 +392,7 @@ def _flow_features(flows: DataFrame, gaps: bool) -> DataFrame:
             for what, amount in (("Packets", side("n", forward)), ("Bytes", side("len", forward))):
                 share = F.floor(amount / F.col("breaks"))
                 out[f"Subflow {title} {what}"] = F.when(F.col("breaks") > 0, share).otherwise(0)
-    return flows.select("endpoint_a", "endpoint_b", *[c.alias(name) for name, c in out.items()])
+    return flows.select("endpoint_a", "endpoint_b", *keep, *[c.alias(name) for name, c in out.items()])
 
 
 def packets_to_flows(packets: DataFrame, gap_seconds: float, slice_rows: int = 1_000_000, cell_seconds: float = 60.0) -> DataFrame:
@@ -403,7 +405,7 @@ def packets_to_flows(packets: DataFrame, gap_seconds: float, slice_rows: int = 1
     gap_us = int(gap_seconds * 1_000_000)
     paired = with_pair(packets)
     runs = _runs(sliced(paired, slice_rows, max(1, int(cell_seconds * 1_000_000))), gap_us)
-    return _flow_features(_joined_runs(runs, gap_us), gaps=True)
+    return flow_features(_joined_runs(runs, gap_us), gaps=True)
 
 
 def flows_in_session_windows(packets: DataFrame, gap_seconds: int) -> DataFrame:
@@ -413,4 +415,4 @@ def flows_in_session_windows(packets: DataFrame, gap_seconds: int) -> DataFrame:
     first = [F.min_by("side", place).alias("opener")]
     first += [F.min_by("window", F.when(F.col("side") == s, place)).alias(f"win_{s}") for s in SIDES]
     merged = with_pair(packets).groupBy(*KEY, windows).agg(*first, *_packet_measures())
-    return _flow_features(merged, gaps=False)
+    return flow_features(merged, gaps=False)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flowloom.contracts import FEATURES_71
 from flowloom.operators import packets
 from flowloom.operators.packets import FLAGS, flows_in_session_windows, packets_to_flows
+from flowloom.streaming.flow_state import stream_all_features
 from flowloom.streaming.live import run_available, stream_flows
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -166,3 +167,24 @@ def test_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
     done = batch.where(F.timestamp_micros(F.unix_micros("flow_start") + F.col("Flow Duration") + 30_000_000) <= F.lit(horizon))
     assert got.exceptAll(done).isEmpty() and done.exceptAll(got).isEmpty()
     assert 0 < got.count() < batch.count()
+
+
+def test_stream_gives_every_feature_of_the_batch(spark, tmp_path):
+    rows = make(300, seed=6)
+    rows.sort(key=lambda r: r[5])
+    rng = random.Random(1)
+    third = len(rows) // 3
+    mixed = sorted(rows, key=lambda r: (r[5] + timedelta(seconds=rng.randrange(50))))  # out of order, within the delay
+    late = (*rows[0][:5], START - timedelta(hours=5), *rows[0][6:8], 9999, *rows[0][9:])
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    for part in ([*mixed[:third]], mixed[third : 2 * third], [*mixed[2 * third :], late]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = stream_all_features(spark.readStream.schema(SCHEMA).parquet(source), 30, "1 minute")
+        run_available(stream, str(tmp_path / "out"), state).awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).where("late_packets = 0").drop("late_packets")
+    batch = packets_to_flows(spark.createDataFrame(rows, SCHEMA), 30)
+    horizon = rows[-1][5] - timedelta(minutes=1)
+    done = batch.where(F.timestamp_micros(F.unix_micros("flow_start") + F.col("Flow Duration") + 30_000_000) < F.lit(horizon))
+    got = got.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in batch.schema])
+    assert got.exceptAll(done).isEmpty() and done.exceptAll(got).isEmpty()
+    assert 10 < got.count() < batch.count() and set(got.columns) >= set(FEATURES_71)

@@ -473,6 +473,9 @@ ORACLES["packets_to_flows_stream"] = f"""WITH {PACKETS}
 SELECT {_packet_columns(False)} FROM whole GROUP BY user_id, flow
 HAVING max(us) + 1800000000 <= (SELECT max(us) - 600000000 FROM packets)"""
 
+ORACLES["packets_to_flows_stream_all"] = f"""WITH {PACKETS} SELECT {_packet_columns(True)} FROM whole GROUP BY user_id, flow
+HAVING max(us) + 1800000000 < (SELECT (max(us) - 600000000) // 1000 * 1000 FROM packets)"""
+
 # ---- decisions -----------------------------------------------------------------------------
 
 ORACLES["threshold_decide"] = f"WITH {SCORED2} SELECT row_key, p, (p >= 0.7::DOUBLE)::INT AS prediction FROM scored2"

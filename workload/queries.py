@@ -30,6 +30,7 @@ from flowloom.operators import (
 from flowloom.plans import jobs
 from flowloom.session import new_table_path, settle
 from flowloom.sources import flow_csv
+from flowloom.streaming.flow_state import stream_all_features
 from flowloom.streaming.live import run_available, stream_flows
 from workload import proxies
 from workload.proxies import FEATURES, LABEL_TAXONOMIES, VECTOR_FEATURES
@@ -413,6 +414,16 @@ def packets_to_flows_stream(spark, sf_dir):
     return found.withColumn("flow_start", F.unix_micros("flow_start"))
 
 
+@query
+def packets_to_flows_stream_all(spark, sf_dir):
+    """The events file as a stream, with every feature: flows finished by the watermark of ten minutes."""
+    source = proxies.table(spark, sf_dir, "events").schema
+    stream = stream_all_features(proxies.event_packet_stream(spark, sf_dir, source), GAP_SECONDS, "10 minutes")
+    out = new_table_path(spark, "flow-stream")
+    run_available(stream, f"{out}/rows", f"{out}/state").awaitTermination()
+    return _flow_rows(spark.read.schema(stream.schema).parquet(f"{out}/rows").where("late_packets = 0").drop("late_packets"))
+
+
 # ---- decisions on given scores ---------------------------------------------------
 
 
