@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+import time
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -133,24 +136,87 @@ class ModelEntry:
 
 _ENTRY_SCHEMA = (
     "id string, version string, preprocessor string, model_type string, threshold double, "
-    "is_gate boolean, cascade_next string, classes string"
+    "is_gate boolean, cascade_next string, classes string, files string, published bigint"
 )
 
 
-def publish(spark: SparkSession, root: str, entry: ModelEntry, model: PipelineModel) -> None:
-    """Save model and registry row below a shared root folder."""
-    model.write().overwrite().save(f"{root}/{entry.id}/model")
-    row = literal_table(spark, [tuple(asdict(entry).values())], _ENTRY_SCHEMA)
-    row.coalesce(1).write.mode("overwrite").json(f"{root}/{entry.id}/entry")
-
-
-def registry(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(_ENTRY_SCHEMA).json(f"{root}/*/entry")
+def publish(spark: SparkSession, root: str, entry: ModelEntry, model: PipelineModel) -> str:
+    """Add a version of a model below a shared root folder and return the folder of its files.
 
+    The model is written to a folder of its own first, the entry that names it last, as one file that appears whole: a reader finds
+    the old newest version or the new one. Nothing is overwritten, so publishers may run side by side.
+    """
+    folder = f"{entry.id}/files/{uuid.uuid4().hex}"
+    model.write().save(f"{root}/{folder}")
+    row = literal_table(spark, [(*asdict(entry).values(), folder, time.time_ns() // 1000)], _ENTRY_SCHEMA)
+    row.coalesce(1).write.json(f"{root}/{entry.id}/entries/{uuid.uuid4().hex}")
+    return f"{root}/{folder}"
+
+
+def registry(spark: SparkSession, root: str, as_of: int | None = None) -> DataFrame:
+    """Every version of every model; with `as_of` (microseconds since 1970) those published by then."""
+    entries = spark.read.schema(_ENTRY_SCHEMA).json(f"{root}/*/entries/*")
+    return entries.where(F.col("published") <= as_of) if as_of is not None else entries
+
+
+def newest(entries: DataFrame) -> DataFrame:
+    """The entry of each model that was published last."""
+    cells = F.struct(*entries.columns)
+    return entries.groupBy("id").agg(F.max_by(cells, F.struct("published", "files")).alias("e")).select("e.*")
+
+
+def load_model(spark: SparkSession, root: str, model_id: str, version: str | None = None, as_of: int | None = None) -> tuple[ModelEntry, PipelineModel]:
+    """The newest entry of a model, of one version if given, and its files; an unknown one is an error."""
+    entries = registry(spark, root, as_of).where(F.col("id") == model_id)
+    row = newest(entries.where(F.col("version") == version) if version is not None else entries).first()
+    if row is None:
+        raise LookupError(f"no model {model_id!r}" + (f" of version {version!r}" if version is not None else "") + f" below {root}")
+    cells = row.asDict()
+    cells.pop("published")
+    return ModelEntry(**{k: v for k, v in cells.items() if k != "files"}), PipelineModel.load(f"{root}/{row.files}")
+
+
+def cascade_chain(spark: SparkSession, root: str, start: str, as_of: int | None = None) -> list[tuple[ModelEntry, PipelineModel]]:
+    """The models from `start` on along `cascade_next`; a circle is an error."""
+    chain: list[tuple[ModelEntry, PipelineModel]] = []
+    at: str | None = start
+    while at is not None:
+        if at in (e.id for e, _ in chain):
+            raise ValueError(f"the cascade from {start!r} comes back to {at!r}")
+        chain.append(load_model(spark, root, at, as_of=as_of))
+        at = chain[-1][0].cascade_next
+    return chain
+
+
+def run_cascade(
+    df: DataFrame, chain: Sequence[tuple[ModelEntry, PipelineModel]], preprocessors: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None
+) -> DataFrame:
+    """Add `attack_class`, the name the chain's last reached model gives, and `decided_by`, its id.
 
-def load_model(spark: SparkSession, root: str, model_id: str) -> tuple[ModelEntry, PipelineModel]:
-    row = spark.read.schema(_ENTRY_SCHEMA).json(f"{root}/{model_id}/entry").first()
-    return ModelEntry(**row.asDict()), PipelineModel.load(f"{root}/{model_id}/model")
+    A binary model stops the rows under its threshold as Benign and hands on the others, each node to rows prepared by its own
+    preprocessor. Rows that reach no further model, or whose features for it are incomplete, are a plain Attack.
+    """
+    names = [*df.columns, "attack_class", "decided_by"]
+    done, rest = [], df
+    for n, (entry, model) in enumerate(chain):
+        ready = F.lit(True)
+        rest = (preprocessors or {}).get(entry.preprocessor, lambda d: d)(rest)
+        for c in model.stages[0].getInputCols():
+            ready = ready & F.col(f"`{c}`").isNotNull() & ~F.isnan(f"`{c}`")
+        halted = rest.where(~ready).withColumns({"attack_class": F.lit("Attack" if n else None).cast("string"), "decided_by": F.lit(chain[n - 1][0].id if n else None).cast("string")})
+        done.append(halted.select(names))
+        if entry.model_type == "binary":
+            scored = score_binary(rest.where(ready), model, "_p").withColumn("_hit", at_least(F.col("_p"), entry.threshold)).drop("_p")
+            done.append(scored.where(~F.col("_hit")).withColumns({"attack_class": F.lit("Benign"), "decided_by": F.lit(entry.id)}).select(names))
+            rest = scored.where("_hit").drop("_hit")
+            if n == len(chain) - 1:
+                done.append(rest.withColumns({"attack_class": F.lit("Attack"), "decided_by": F.lit(entry.id)}).select(names))
+        else:
+            told = score_classes(rest.where(ready), model, "_probs")
+            known = entry.classes.split(",") if entry.classes else CLASS_NAMES
+            done.append(told.withColumns({"attack_class": class_name(F.col("_probs"), known), "decided_by": F.lit(entry.id)}).select(names))
+            break
+    return reduce(DataFrame.unionByName, done)
 
 
 def with_threshold(entry: ModelEntry, threshold: float) -> ModelEntry:

@@ -49,5 +49,7 @@ def read_text(uri: str | Path) -> str:
 
 def write_text(uri: str | Path, text: str) -> None:
     system, path = locate(uri)
+    if isinstance(system, pafs.LocalFileSystem):  # other stores make the folders themselves
+        system.create_dir(str(Path(path).parent), recursive=True)
     with system.open_output_stream(path) as stream:
         stream.write(text.encode("utf-8"))

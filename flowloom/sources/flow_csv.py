@@ -12,13 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from flowloom.contracts import HEADER_PREFIX, KNOWN_HEADERLESS
-from flowloom.operators.schema import align, drop_identity, stamp, to_numeric
-from flowloom.session import literal_table
-from flowloom.sources.files import locate, plain
+from flowloom.operators.schema import drop_identity, stamp, to_numeric
+from flowloom.session import literal_table, settle
+from flowloom.sources.files import locate
 
 HEAD_BYTES = 65_536
-_OVERFLOW = "_beyond_last_column"
-_NOTHING = ("_repeat_0",)
 
 
 def _relative(path: Column, root: str) -> Column:
@@ -30,6 +28,11 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def _plain(path: Column) -> Column:
+    """A local path without its file: prefix, which listings and scans spell in several ways."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def lineage(root: str, path: Column) -> dict[str, Column]:
     """Relative path, file name and top folder (= class) of a source path."""
     relative = _relative(path, root)
@@ -41,7 +44,8 @@ def lineage(root: str, path: Column) -> dict[str, Column]:
 
 
 def list_csv(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of all CSV files below root, empty ones included; file contents are not read."""
+    """Paths of all CSV files below root, empty ones included (a scan gives no row for those, so
+    they come from the file index that the driver holds for any scan); file contents are not read."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     paths = [(p,) for p in sorted(listing.load(root).inputFiles())]
     encoded = literal_table(spark, paths, "encoded string").repartition(max(1, len(paths) // 1000))
@@ -103,34 +107,39 @@ def canonical_columns(inventory: DataFrame) -> list[str]:
     return [c.strip() for c in first.first_line.split(",")]
 
 
-def header_names(first_line: str) -> list[str]:
-    """Stripped names of a raw header. A repeated name keeps its first place; later ones are marked to be dropped."""
-    names, seen = [], set()
-    for i, raw in enumerate(first_line.split(",")):
-        name = raw.strip()
-        names.append(f"_repeat_{i}" if name in seen else name)
-        seen.add(name)
-    return names
+def file_plans(inventory: DataFrame, columns: Sequence[str], on_suspicious: str) -> DataFrame:
+    """(path, header, width, places, known) for each file with a first line: whether that line is a header, the cells of a line, and the
+    cell of each of `columns`, -1 for absent ones. A repeated name stands for its first place.
 
-
-def _read_text_columns(
-    spark: SparkSession, paths: Sequence[str], names: Sequence[str], header: bool, encoding: str, skip_long: bool
-) -> DataFrame:
-    """All columns as text. With `skip_long`, lines with more cells than columns are dropped; short ones are padded."""
-    fields = [*names, _OVERFLOW] if skip_long else list(names)
-    schema = StructType([StructField(n, StringType()) for n in fields])
-    reader = spark.read.schema(schema).option("header", header).option("encoding", encoding)
-    df = reader.option("mode", "PERMISSIVE").csv(list(paths))
-    if skip_long and names != _NOTHING:
-        df = df.where(F.col(_OVERFLOW).isNull())
-    keep = [n for n in names if not n.startswith("_repeat_")]
-    return df.select(*[F.col(f"`{n}`") for n in keep], _decoded(F.col("_metadata.file_path")).alias("_path"))
-
-
-def _not_utf8(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Files with bytes that are not UTF-8; a scan that returns file names only."""
-    text = spark.read.text(list(paths)).where(~F.is_valid_utf8("value"))
-    return {r.p for r in text.select(_decoded(F.col("_metadata.file_path")).alias("p")).distinct().collect()}
+    A file without a known name in its first line that isn't known to be headerless has no `known` name: its columns are taken by position
+    ("positional") or absent.
+    """
+    names = F.transform(F.split("first_line", ","), lambda n: F.regexp_replace(n, r"(?U)^\s+|\s+$", ""))
+    by_name = F.array(*(F.array_position(names, F.lit(c)).cast("int") - 1 for c in columns))
+    by_place = F.array(*(F.lit(i) for i in range(len(columns))))
+    named_files = ~F.col("known_headerless")
+    told = inventory.where("first_line <> ''").withColumn("known", ~named_files | F.exists(by_name, lambda i: i >= 0))
+    placed = ~named_files | (~F.col("known") & F.lit(on_suspicious == "positional"))
+    return told.select("path", (~placed).alias("header"), F.when(placed, len(columns)).otherwise(F.size(names)).alias("width"),
+                       F.when(placed, by_place).otherwise(by_name).alias("places"), "known")
+
+
+def _lines(spark: SparkSession, root: str, header: bool) -> DataFrame:
+    """(line, path) of every CSV file below root, byte for byte (as latin-1); with `header`, without the first of each file."""
+    reader = spark.read.schema("line string").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("header", header)
+    whole = reader.options(sep="\x01", quote="", encoding="ISO-8859-1", maxCharsPerColumn=-1).csv(root)
+    return whole.where(F.col("line").isNotNull()).select("line", _plain(_decoded(F.col("_metadata.file_path"))).alias("path"))
+
+
+def _cells(lines: DataFrame, files: DataFrame, columns: Sequence[str], width: int, tolerant: bool) -> DataFrame:
+    """Lines as text columns, by the plan of their file."""
+    raw = F.encode("line", "ISO-8859-1").cast("string")
+    text = F.when(F.is_valid_utf8(raw), raw).otherwise(F.col("line")) if tolerant else F.make_valid_utf8(raw)
+    row = F.from_csv(text, ", ".join(f"c{i} string" for i in range(width + 1)), {"mode": "PERMISSIVE", "maxCharsPerColumn": "-1", "maxColumns": str(width + 2)})
+    cells = lines.join(files.withColumn("path", _plain(F.col("path"))), "path").withColumn("row", row).withColumn("cells", F.array(*(F.col(f"row.c{i}") for i in range(width + 1))))
+    if tolerant:
+        cells = cells.where(~F.col("known") | F.get("cells", F.col("width")).isNull())
+    return cells.select(*(F.when(F.get("places", F.lit(i)) >= 0, F.get("cells", F.get("places", F.lit(i)))).alias(c) for i, c in enumerate(columns)), F.col("path").alias("_path"))
 
 
 def read_flow_csv(
@@ -143,9 +152,9 @@ def read_flow_csv(
 ) -> DataFrame:
     """All CSV files below root as text columns in one schema, with lineage.
 
-    Files are grouped by header line (a handful of variants), each variant is one
-    scan aligned to `columns` by name; known files without header take the
-    columns by position. `tolerant` skips overlong lines and reads files that
+    Lines are read as they are and joined to the plan of their file, one small row a file with the cell of each of `columns`
+    as its header has it; files and header variants may be any number. Known files without header take the
+    columns by position. `tolerant` skips overlong lines and reads lines that
     are not UTF-8 as latin-1. A file whose first line has no known name, and which is not known to
     be headerless, is an error; `on_suspicious` may also read it by position ("positional"), as rows of
     NULL without its first line ("null"), or leave it out ("skip").
@@ -154,29 +163,21 @@ def read_flow_csv(
         raise ValueError(f"on_suspicious: {on_suspicious}")
     inventory = file_inventory(spark, root, known_headerless)
     columns = list(columns or canonical_columns(inventory))
-    heads = inventory.where("first_line <> ''").withColumn("head", F.md5("first_line"))
-    files = heads.select("path", "head", "known_headerless").collect()
-    by_name = heads.where(~F.col("known_headerless")).select("head", "first_line").distinct().collect()
-    names_of = {h.head: tuple(header_names(h.first_line)) for h in by_name}
-    odd = {plain(p) for p in _not_utf8(spark, [f.path for f in files])} if tolerant and files else set()
-    variants: dict[tuple, list[str]] = {}
-    for f in files:
-        names = tuple(columns) if f.known_headerless else names_of[f.head]
-        header = not f.known_headerless
-        if not set(names) & set(columns):
-            if on_suspicious == "raise":
-                raise RuntimeError(f"{f.path} has no known column name in its first line; say what it is by known_headerless or on_suspicious")
-            if on_suspicious == "skip":
-                continue
-            names, header = (tuple(columns), False) if on_suspicious == "positional" else (_NOTHING, True)
-        encoding = "ISO-8859-1" if plain(f.path) in odd else "UTF-8"
-        variants.setdefault((names, header, encoding), []).append(f.path)
-    if not variants:
+    files = settle(file_plans(inventory, columns, on_suspicious), "csv-files")
+    unknown = files.where(~F.col("known"))
+    if on_suspicious == "raise" and (odd := unknown.orderBy("path").first()):
+        raise RuntimeError(f"{odd.path} has no known column name in its first line; say what it is by known_headerless or on_suspicious")
+    if on_suspicious == "skip":
+        files = files.where("known")
+    kinds = {r.header: r.width for r in files.groupBy("header").agg(F.max("width").alias("width")).collect()}  # two rows at most
+    if not kinds:
         raise RuntimeError(f"no readable CSV file below {root}")
     parts = []
-    for (names, header, encoding), paths in variants.items():
-        raw = _read_text_columns(spark, paths, names, header, encoding, skip_long=tolerant)
-        parts.append(align(raw, [*columns, "_path"]))
+    for header, width in sorted(kinds.items()):
+        lines = _lines(spark, root, header)
+        if not header and on_suspicious != "positional":  # prunes the scan to the files of those names
+            lines = lines.where(_decoded(F.col("_metadata.file_name")).isin([re.split(r"[\\/]", k)[-1] for k in known_headerless]))
+        parts.append(_cells(lines, files.where(F.col("header") == header), columns, width, tolerant))
     return reduce(DataFrame.unionByName, parts).withColumns(lineage(root, F.col("_path"))).drop("_path")
 
 

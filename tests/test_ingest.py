@@ -134,6 +134,21 @@ def test_tolerant_read_handles_repeats_long_lines_and_latin1(spark, tmp_path):
     assert got == {("1", "2", "Web Attack \x96 XSS"), ("7", "8", None), ("9", "9", "Grün")}
 
 
+def test_encoding_is_decided_by_line_and_variants_may_be_many(spark, tmp_path):
+    folder = tmp_path / "in" / "mix"
+    folder.mkdir(parents=True)
+    (folder / "both.csv").write_bytes("Flow ID,Label\r\n1,Grün\r\n".encode() + b"2,caf\xe9\r\n\n3,\"a,b\"\n")
+    for i in range(40):  # as many headers as files
+        names = [f"x{j}" for j in range(i)] + [" Flow ID", "Label "] + [f"z{i}"]
+        (folder / f"v{i}.csv").write_text(",".join(names) + "\n" + ",".join(["0"] * i + [str(100 + i), f"l{i}", "9"]) + "\n")
+    rows = flow_csv.read_flow_csv(spark, str(tmp_path / "in"), ["Label", "Flow ID", "Nope"], [], tolerant=True).collect()
+    got = {r["Flow ID"]: r["Label"] for r in rows}
+    assert got == {"1": "Grün", "2": "café", "3": "a,b"} | {str(100 + i): f"l{i}" for i in range(40)} and len(rows) == 43
+    assert {r["Nope"] for r in rows} == {None} and {r.source_class_folder for r in rows} == {"mix"}
+    strict = flow_csv.read_flow_csv(spark, str(tmp_path / "in"), ["Flow ID", "Label"], [])
+    assert strict.where("`Flow ID` = '2'").first().Label == "caf\ufffd"
+
+
 def test_parquet_is_preferred(spark, root, tmp_path):
     folder = str(tmp_path / "both")
     spark.range(3).write.parquet(folder + "/p")

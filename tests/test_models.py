@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,45 @@ def test_registry_round_trip(spark, rows, forest, tmp_path):
     assert models.with_threshold(gate, 0.41).threshold == 0.41
 
 
+def test_versions_are_kept_and_found(spark, rows, forest, tmp_path):
+    root = str(tmp_path / "registry")
+    models.publish(spark, root, models.ModelEntry("gate", "1.0", "flow71", "binary", 0.7), forest)
+    first = models.registry(spark, root).first().published
+    with ThreadPoolExecutor(4) as pool:  # publishers side by side
+        list(pool.map(lambda i: models.publish(spark, root, models.ModelEntry("gate", f"2.{i}", "flow71", "binary", 0.1 * i), forest), range(4)))
+    models.publish(spark, root, models.ModelEntry("gate", "3.0", "flow71", "binary", 0.6), forest)
+    assert models.registry(spark, root).count() == 6
+    assert models.load_model(spark, root, "gate")[0].version == "3.0"
+    assert models.load_model(spark, root, "gate", version="2.3")[0].threshold == pytest.approx(0.3)
+    assert models.load_model(spark, root, "gate", as_of=first)[0].version == "1.0"
+    with pytest.raises(LookupError):
+        models.load_model(spark, root, "gate", version="9")
+    half = tmp_path / "registry" / "gate" / "files" / "unfinished"  # a publisher that was killed
+    half.mkdir()
+    assert models.load_model(spark, root, "gate")[0].version == "3.0"
+
+
+def test_cascade_follows_the_registry(spark, rows, forest, tmp_path):
+    root = str(tmp_path / "registry")
+    classes = models.train_forest(rows, ["x"], "class_id", numTrees=3, maxDepth=3)
+    models.publish(spark, root, models.ModelEntry("a", "1", "raw", "binary", 0.5, True, "b"), forest)
+    models.publish(spark, root, models.ModelEntry("b", "1", "upper", "binary", 0.0, False, "c"), forest)
+    models.publish(spark, root, models.ModelEntry("c", "1", "raw", "multiclass"), classes)
+    chain = models.cascade_chain(spark, root, "a")
+    assert [e.id for e, _ in chain] == ["a", "b", "c"]
+    got = models.run_cascade(rows, chain, {"upper": lambda d: d.withColumn("row_key", F.upper("row_key"))})
+    want = models.cascade_score(rows, forest, classes, 0.5).select(F.upper("row_key").alias("k"), F.col("attack_class").alias("w"))
+    both = got.withColumn("k", F.upper("row_key")).join(want, "k")
+    assert both.count() == rows.count() and both.where("attack_class <> w").isEmpty()
+    assert {r[0] for r in got.select("decided_by").distinct().collect()} == {"a", "c"}
+    assert got.where("decided_by = 'c' AND row_key <> upper(row_key)").isEmpty()
+    short = models.run_cascade(rows, chain[:1])
+    assert {r[0] for r in short.select("attack_class").distinct().collect()} == {"Benign", "Attack"}
+    models.publish(spark, root, models.ModelEntry("c", "2", "raw", "binary", 0.5, False, "a"), forest)
+    with pytest.raises(ValueError, match="comes back"):
+        models.cascade_chain(spark, root, "a")
+
+
 def test_thresholds_from_json():
     assert models.parse_threshold('{"threshold": 0.7}') == 0.7
     assert models.parse_threshold('{"best_threshold": 0.41}') == 0.41

@@ -676,3 +676,27 @@ ORACLES["boosted_classes"] = f"""WITH {FLOWS} SELECT row_key, CAST(floor((coales
 ORACLES["boosted_stopped"] = f"""WITH {FLOWS} SELECT row_key, ("Flow Duration" > 25)::INT AS prediction, true AS uses_lowest_loss, true AS ended_by_patience FROM flows"""
 ORACLES["boosted_leafwise"] = f"""WITH {FLOWS} SELECT row_key, ("Flow Duration" > 25)::INT AS prediction FROM flows"""
 ORACLES["boosted_importance"] = f"""WITH {FLOWS} SELECT 'Flow Duration' AS feature WHERE (SELECT count(*) FROM flows) > 0"""
+
+# ---- raw inputs and artefacts, written and read back ----------------------------------------
+
+_GAP_KEPT = """source_class_folder <> 'Spoofing'"""
+ORACLES["csv_lineage"] = f"""WITH {FLOWS} SELECT source_class_folder, count(*) AS n_rows, sum("Flow Duration")::BIGINT AS durations,
+  count("Flow IAT Mean") FILTER ({_GAP_KEPT}) AS gaps FROM flows GROUP BY 1"""
+ORACLES["csv_rows"] = f"""WITH {FLOWS} SELECT row_key, source_class_folder, "Flow Duration"::DOUBLE AS duration,
+  CASE WHEN source_class_folder = 'Mirai' THEN 'café' ELSE 'x' END AS label FROM flows"""
+ORACLES["csv_inventory"] = f"""WITH {FLOWS} SELECT source_class_folder, source_class_folder <> 'DoS' AS headers, source_class_folder = 'DoS' AS known,
+  false AS suspicious, CASE source_class_folder WHEN 'Recon' THEN 5 WHEN 'Spoofing' THEN 3 ELSE 4 END AS columns FROM flows GROUP BY 1"""
+ORACLES["csv_canonical"] = f"""WITH {FLOWS} SELECT place, name, (SELECT CASE place WHEN 2 THEN count("Flow IAT Mean") FILTER ({_GAP_KEPT}) ELSE count(*) END FROM flows) AS filled
+FROM (VALUES (0, 'Flow ID'), (1, 'Flow Duration'), (2, 'Flow IAT Mean'), (3, 'Label')) c(place, name)"""
+ORACLES["stripped_names"] = f"""WITH {FLOWS} SELECT row_key, "Flow Duration" FROM flows"""
+ORACLES["preferred_source"] = f"""WITH {FLOWS} SELECT way, source_class_folder, count(*) AS n_rows FROM flows, (VALUES ('preferred'), ('existing')) w(way) GROUP BY ALL"""
+ORACLES["report_sinks"] = f"""WITH {FLOWS} SELECT kind, source_class_folder, count(*) AS n_rows FROM flows, (VALUES ('json'), ('csv'), ('parquet')) k(kind) GROUP BY ALL"""
+ORACLES["params_round_trip"] = f"""WITH {FLOWS} SELECT count(*) AS n_rows, count(*) - count("Flow IAT Mean") AS filled, sum("Flow Duration")::BIGINT AS durations FROM flows"""
+ORACLES["contract_round_trip"] = f"""WITH {FLOWS} SELECT place, name, (SELECT CASE place WHEN 0 THEN count("Flow Duration") WHEN 1 THEN count("Total Length of Fwd Packet")
+  WHEN 2 THEN count("Flow Bytes/s") ELSE count("Flow IAT Mean") END FROM flows) AS filled
+FROM (VALUES (0, 'Flow Duration'), (1, 'Total Length of Fwd Packet'), (2, 'Flow Bytes/s'), (3, 'Flow IAT Mean')) c(place, name)"""
+ORACLES["live_scoring"] = f"""WITH {FLOWS} SELECT row_key, CASE WHEN "Flow Duration" > 25 THEN 'ATTACK' ELSE 'BENIGN' END AS verdict FROM flows"""
+ORACLES["registry_versions"] = f"""WITH {FLOWS} SELECT way, version, ("Flow Duration" > 25) <> turned AS attack, count(*) AS n_rows
+FROM flows, (VALUES ('newest', '2.0', true), ('version', '1.0', false), ('as_of', '1.0', false)) v(way, version, turned) GROUP BY ALL"""
+ORACLES["registry_cascade"] = f"""WITH {FLOWS} SELECT row_key, CASE WHEN "Flow Duration" <= 40 THEN 'Benign' ELSE 'high' END AS attack_class,
+  CASE WHEN "Flow Duration" <= 25 THEN 'gate' WHEN "Flow Duration" <= 40 THEN 'second' ELSE 'classes' END AS decided_by FROM flows"""

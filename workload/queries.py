@@ -725,7 +725,7 @@ def train_and_judge(spark, sf_dir):
 # ---- learners on rules that trees reproduce: checked against SQL ------------------------------
 
 
-def _ruled(spark, sf_dir):
+def ruled_flows(spark, sf_dir):
     """All flows with a binary and a three-class label that follow from one feature; the others are noise."""
     rows = cleaning.zero_clean(proxies.flows(spark, sf_dir), FEATURES[:4])
     split = F.when(F.pmod(F.xxhash64("row_key"), F.lit(10)) < 7, "train").when(F.pmod(F.xxhash64("row_key"), F.lit(10)) < 8, "val").otherwise("test")
@@ -741,7 +741,7 @@ _RULE_TREES = {"maxDepth": 3, "maxBins": 64}
 @query
 def learned_rule(spark, sf_dir):
     """Boosted trees on the training rows, stopped on the validation rows, predict every row."""
-    rows = _ruled(spark, sf_dir)
+    rows = ruled_flows(spark, sf_dir)
     model = models.train_boosted(rows.where("split = 'train'"), rows.where("split = 'val'"), FEATURES[:4], maxIter=4, **_RULE_TREES)
     return models.score_binary(rows, model).select("row_key", decide(F.col("p"), 0.5).alias("prediction"))
 
@@ -752,20 +752,20 @@ def _class_forest(rows):
 
 @query
 def learned_classes(spark, sf_dir):
-    rows = _ruled(spark, sf_dir)
+    rows = ruled_flows(spark, sf_dir)
     return models.score_classes(rows, _class_forest(rows)).select("row_key", argmax_index(F.col("probs")).alias("pred"))
 
 
 @query
 def learned_confusion(spark, sf_dir):
-    rows = _ruled(spark, sf_dir)
+    rows = ruled_flows(spark, sf_dir)
     scored = models.score_classes(rows, _class_forest(rows)).withColumn("pred", argmax_index(F.col("probs")))
     return multiclass_eval.confusion_cells(scored, 3, y="class_id")
 
 
 @query
 def learned_top_feature(spark, sf_dir):
-    return models.feature_importance(_class_forest(_ruled(spark, sf_dir)), spark, 1).select("feature")
+    return models.feature_importance(_class_forest(ruled_flows(spark, sf_dir)), spark, 1).select("feature")
 
 
 # ---- boosting grown on Spark, with validation and patience ----------------------------------
@@ -773,7 +773,7 @@ def learned_top_feature(spark, sf_dir):
 
 def _boost_rows(spark, sf_dir):
     """All flows with rules of two and of eight classes; `noisy` is the binary rule with one label in five turned over."""
-    rows = _ruled(spark, sf_dir)
+    rows = ruled_flows(spark, sf_dir)
     turned = F.pmod(F.xxhash64("row_key", F.lit("noise")), F.lit(5)) == 0
     return settle(rows.withColumns({
         "held": F.col("split") == "val", "class8": F.floor((F.col(FEATURES[0]) - 1) / 7).cast("int"),
