@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.contracts import contract_problems
-from flowloom.operators.cleaning import inf_nan_summary
+from flowloom.functions import named
+from flowloom.functions.columns import is_inf, is_missing
 from flowloom.session import literal_table
 from flowloom.sources.files import exists
 
@@ -86,25 +87,40 @@ def overlap_checks(df: DataFrame, key: str = "source_relative_file") -> DataFram
     )
 
 
-def clean_checks(splits: Mapping[str, DataFrame], features: Sequence[str]) -> DataFrame:
-    """No missing and no infinite cell left in any split."""
-    rows = []
-    for name, df in splits.items():
-        s = inf_nan_summary(df, features)
-        checks = F.array(
-            F.struct(F.lit(f"no NaN in {name}").alias("check"), F.col("total_nan_cells").alias("n")),
-            F.struct(F.lit(f"no Inf in {name}").alias("check"), F.col("total_inf_cells").alias("n")),
-        )
-        rows.append(s.select(F.inline(checks)))
-    return reduce(DataFrame.unionByName, rows).select(
-        "check", _status(F.col("n") == 0).alias("status"), _number(F.col("n")).alias("detail")
-    )
+FACT_KEYS = ["source_relative_file", "split", "source_class_folder"]
+
+
+def split_facts(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Everything the row checks need, in one scan: per file, split and class the rows, benign and attack rows, missing and infinite cells.
+
+    The checks below take this table or the rows themselves; it has one row a file.
+    """
+    def cells(bad):
+        return reduce(Column.__add__, (F.coalesce(bad(named(f)), F.lit(True)).cast("long") for f in features), F.lit(0).cast("long"))
+
+    return df.groupBy(*FACT_KEYS).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("target_binary") == 0).alias("benign"), F.count_if(F.col("target_binary") == 1).alias("attack"),
+        F.sum(cells(is_missing)).alias("nan_cells"), F.sum(cells(lambda c: F.coalesce(is_inf(c), F.lit(False)))).alias("inf_cells"))
+
+
+def _as_facts(df: DataFrame) -> DataFrame:
+    """Rows as facts of one row each, for checks that count rows."""
+    if "nan_cells" in df.columns:
+        return df
+    return df.withColumns({"rows": F.lit(1), "benign": (F.col("target_binary") == 0).cast("int"), "attack": (F.col("target_binary") == 1).cast("int")})
+
+
+def clean_checks(df: DataFrame, splits: Sequence[str] = ("train", "val", "test")) -> DataFrame:
+    """No missing and no infinite cell left in any split; takes `split_facts`."""
+    sums = df.agg(*(F.coalesce(F.sum(F.when(F.col("split") == s, F.col(f"{kind}_cells"))), F.lit(0)).alias(f"{kind}_{s}") for s in splits for kind in ("nan", "inf")))
+    checks = [F.struct(F.lit(f"no {name} in {s}").alias("check"), F.col(f"{kind}_{s}").alias("n")) for s in splits for kind, name in (("nan", "NaN"), ("inf", "Inf"))]
+    return sums.select(F.inline(F.array(*checks))).select("check", _status(F.col("n") == 0).alias("status"), _number(F.col("n")).alias("detail"))
 
 
 def balance_check(df: DataFrame, low: float = 0.8, high: float = 1.2) -> DataFrame:
     """Attack rows per benign row of train lie between the limits."""
-    counts = df.where("split = 'train'").agg(
-        F.count_if(F.col("target_binary") == 0).alias("b"), F.count_if(F.col("target_binary") == 1).alias("a")
+    counts = _as_facts(df).where("split = 'train'").agg(
+        F.coalesce(F.sum("benign"), F.lit(0)).alias("b"), F.coalesce(F.sum("attack"), F.lit(0)).alias("a")
     )
     balance = F.when(F.col("b") > 0, F.col("a") / F.col("b")).otherwise(0.0)
     return counts.select(
@@ -116,8 +132,9 @@ def balance_check(df: DataFrame, low: float = 0.8, high: float = 1.2) -> DataFra
 def coverage_checks(df: DataFrame, absent: Sequence[str], splits: Sequence[str] = ("val", "test")) -> DataFrame:
     """Classes that are expected to be absent from the given splits."""
     pairs = [(s, c) for s in splits for c in absent]
+    rows = F.col("rows") if "nan_cells" in df.columns else F.lit(1)
     hits = [
-        F.count_if((F.col("split") == s) & (F.col("source_class_folder") == c)).alias(f"_{i}")
+        F.coalesce(F.sum(F.when((F.col("split") == s) & (F.col("source_class_folder") == c), rows)), F.lit(0)).alias(f"_{i}")
         for i, (s, c) in enumerate(pairs)
     ]
     cells = [

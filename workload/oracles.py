@@ -700,3 +700,15 @@ ORACLES["registry_versions"] = f"""WITH {FLOWS} SELECT way, version, ("Flow Dura
 FROM flows, (VALUES ('newest', '2.0', true), ('version', '1.0', false), ('as_of', '1.0', false)) v(way, version, turned) GROUP BY ALL"""
 ORACLES["registry_cascade"] = f"""WITH {FLOWS} SELECT row_key, CASE WHEN "Flow Duration" <= 40 THEN 'Benign' ELSE 'high' END AS attack_class,
   CASE WHEN "Flow Duration" <= 25 THEN 'gate' WHEN "Flow Duration" <= 40 THEN 'second' ELSE 'classes' END AS decided_by FROM flows"""
+_DIRTY = f"""{FLOWS}, parts AS (SELECT *, CASE source_file_name WHEN 'Brand#11' THEN 'train' WHEN 'Brand#12' THEN 'val' ELSE 'test' END AS split,
+  ("Flow IAT Mean" IS NULL)::INT + ("Flow Bytes/s" IS NULL)::INT AS nan, (isinf("Flow Bytes/s"))::INT AS inf FROM flows)"""
+ORACLES["audit_dirty"] = f"""WITH {_DIRTY}, found AS (
+  SELECT 'no file overlap ' || a || '-' || b AS "check", (SELECT count(*) FROM (SELECT source_relative_file FROM parts GROUP BY 1 HAVING bool_or(split = a) AND bool_or(split = b))) AS n
+    FROM (VALUES ('train', 'val'), ('train', 'test'), ('val', 'test')) p(a, b)
+  UNION ALL SELECT 'no NaN in ' || s, (SELECT coalesce(sum(nan), 0) FROM parts WHERE split = s) FROM (VALUES ('train'), ('val'), ('test')) p(s)
+  UNION ALL SELECT 'no Inf in ' || s, (SELECT coalesce(sum(inf), 0) FROM parts WHERE split = s) FROM (VALUES ('train'), ('val'), ('test')) p(s)
+  UNION ALL SELECT c || ' absent from ' || s, (SELECT count(*) FROM parts WHERE split = s AND source_class_folder = c)
+    FROM (VALUES ('val'), ('test')) p(s), (VALUES ('Mirai'), ('DoS')) q(c))
+SELECT "check", CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, n::BIGINT::VARCHAR AS detail FROM found
+UNION ALL SELECT 'train balance', CASE WHEN b > 0 AND a / b BETWEEN 0.8 AND 1.2 THEN 'PASS' ELSE 'FAIL' END, 'benign=' || b || ' attack=' || a
+FROM (SELECT count(*) FILTER (target_binary = 0) AS b, count(*) FILTER (target_binary = 1) AS a FROM parts WHERE split = 'train')"""

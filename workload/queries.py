@@ -642,8 +642,7 @@ def audit_overlap(spark, sf_dir):
 
 @query
 def audit_clean(spark, sf_dir):
-    rows = _audited(spark, sf_dir)
-    return audit.clean_checks({s: rows.where(F.col("split") == s) for s in ("train", "val", "test")}, FEATURES)
+    return audit.clean_checks(audit.split_facts(_audited(spark, sf_dir), FEATURES))
 
 
 @query
@@ -656,6 +655,14 @@ def audit_coverage(spark, sf_dir):
     return audit.coverage_checks(_split_rows(spark, sf_dir), ["Mirai", "Recon"])
 
 
+@query
+def audit_dirty(spark, sf_dir):
+    """Every row check on flows as they come, not cleaned, with the brand as the split: failures with their counts."""
+    split = F.when(F.col("source_file_name") == "Brand#11", "train").when(F.col("source_file_name") == "Brand#12", "val").otherwise("test")
+    facts = settle(audit.split_facts(proxies.flows(spark, sf_dir).withColumn("split", split), FEATURES), "split-facts")
+    return audit.audit(audit.overlap_checks(facts), audit.clean_checks(facts), audit.balance_check(facts), audit.coverage_checks(facts, ["Mirai", "DoS"]))
+
+
 @query
 def audit_metric_floor(spark, sf_dir):
     metrics = binary_eval.binary_metrics(proxies.scored_models(spark, sf_dir), 0.1, by=["model"])
