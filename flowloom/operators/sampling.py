@@ -10,6 +10,7 @@ that range follow until it is thin, and only the thin range is ranked. The sampl
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,12 +21,34 @@ from flowloom.functions import seeded_hash
 from flowloom.operators.quotas import largest_remainder
 from flowloom.session import settle
 
+SALTS = 64  # parts of a group where its cut table is too large to broadcast
+SMALL_ROW_BYTES = 256  # of a row of a cut table
 RANGE_ROWS = 4096  # aimed rows per hash range
 MAX_DIGITS = 4  # digits of the hash in one round: at most 16**4 counters per group
 HASH_DIGITS = 32
 BELOW_ALL, ABOVE_ALL = "", "~"  # sort before and after every hex digit
 
 
+def _lookup(rows: DataFrame, small: DataFrame, group: Sequence[str], key: str, salts: int = SALTS) -> DataFrame:
+    """rows join small, which has a written row or two a group.
+
+    A table within the broadcast threshold is joined as it is. Beyond it the join shuffles by group, and a file with most
+    of the rows would be one task, whose partitioning later counts would even reuse: each group is dealt over `salts` parts then.
+    """
+    threshold = rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if small.count() * SMALL_ROW_BYTES <= _bytes(threshold):
+        return rows.join(small, list(group))
+    part = F.pmod(F.xxhash64(key, F.lit("part")), F.lit(salts)).cast("int")
+    dealt = small.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_part", part).join(dealt, [*group, "_part"]).drop("_part")
+
+
+def _bytes(setting: str) -> int:
+    """A size such as 10485760, 10485760b or 10MB."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)i?b?\s*", setting.lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def cut_points(
     rows: DataFrame,
     targets: DataFrame,
@@ -51,7 +74,7 @@ def cut_points(
         wide = edge.where(F.col("_inside") > range_rows)
         if wide.isEmpty():
             break
-        inside = hashed.join(wide, list(group)).where(F.col("cut_hash").startswith(F.col("_prefix")))
+        inside = _lookup(hashed, wide, group, "cut_key").where(F.col("cut_hash").startswith(F.col("_prefix")))
         counted = inside.groupBy(*tag, "_need", "_prefix", F.substring("cut_hash", done + 1, MAX_DIGITS).alias("_next")).agg(F.count(F.lit(1)).alias("_n"))
         upto = F.sum("_n").over(W.partitionBy(*tag).orderBy("_next"))
         thinner = counted.withColumn("_upto", upto).where("_upto >= _need AND _upto - _n < _need").select(
@@ -61,7 +84,7 @@ def cut_points(
     order = W.partitionBy(*tag).orderBy("cut_hash", "cut_key")
     again = (F.lead("cut_hash").over(order) == F.col("cut_hash")) & (F.lead("cut_key").over(order) == F.col("cut_key"))
     last = (
-        hashed.join(edge, list(group))
+        _lookup(hashed, edge, group, "cut_key")
         .where(F.col("cut_hash").startswith(F.col("_prefix")))
         .withColumns({"_place": F.row_number().over(order), "_again": again})
         .where("_place = _need")
@@ -99,7 +122,7 @@ def take_exact(
     """
     cuts = cut_points(rows, targets.withColumn("cut", F.lit(0)), group, key, seed, **tuning)
     limits = cuts.select(*group, *carry, "cut_hash", F.col("cut_key").alias("_cut_key"))
-    kept = _present(rows, [*group, key]).join(limits, list(group)).where(_inside(seed, key, F.col("cut_hash"), F.col("_cut_key")))
+    kept = _lookup(_present(rows, [*group, key]), limits, group, key).where(_inside(seed, key, F.col("cut_hash"), F.col("_cut_key")))
     return kept.select(*rows.columns, *carry)
 
 
@@ -176,7 +199,7 @@ def stratified_split(
         return _inside(seed, key, F.col(f"_{name}_cut_hash"), F.col(f"_{name}_cut_key"))
 
     split = F.when(inside("test"), "test").when(inside("val"), "val").otherwise("train")
-    return _present(rows, [class_col, key]).join(limits, class_col).select(*rows.columns, split.alias("split"))
+    return _lookup(_present(rows, [class_col, key]), limits, [class_col], key).select(*rows.columns, split.alias("split"))
 
 
 def cap_targets(counts: DataFrame, caps: Mapping[int, int], class_col: str) -> DataFrame:

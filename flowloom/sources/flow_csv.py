@@ -223,7 +223,8 @@ def class_totals(manifest: DataFrame) -> DataFrame:
 def write_compact(df: DataFrame, out: str) -> DataFrame:
     """Write zstd Parquet by class folder and return the manifest of what was written.
 
-    Tasks write where they are: no shuffle, and later scans prune by class.
+    Tasks write where they are: no shuffle, and later scans prune by class. For a table that readers
+    use while it is replaced, see `tables.commit`.
     """
     df.write.partitionBy("source_class_folder").option("compression", "zstd").parquet(out)
     return compact_manifest(df.sparkSession.read.parquet(out))

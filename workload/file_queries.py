@@ -11,7 +11,7 @@ from flowloom.contracts import load_contract
 from flowloom.functions import named
 from flowloom.operators import cleaning, models, schema
 from flowloom.session import new_table_path
-from flowloom.sources import flow_csv
+from flowloom.sources import flow_csv, tables
 from flowloom.sources.files import write_text
 from flowloom.sources.reports import write_report
 from flowloom.streaming.live import read_growing_csv, run_available, stream_verdicts
@@ -127,6 +127,20 @@ def report_sinks(spark, sf_dir):
     return back[0].unionByName(back[1]).unionByName(back[2])
 
 
+@query
+def committed_table(spark, sf_dir):
+    """All flows in two commits, then all again in one: the newest table and the one as of the commit before, by class."""
+    flows, path = proxies.flows(spark, sf_dir).select("row_key", "source_class_folder"), new_table_path(spark, "committed")
+    benign = F.col("source_class_folder") == "Benign"
+    tables.commit(flows.where(benign), path, ["source_class_folder"])
+    tables.commit(flows.where(~benign), path, ["source_class_folder"], add=True)
+    before = tables.versions(spark, path).agg(F.max("committed")).first()[0]
+    tables.commit(flows.unionByName(flows), path, ["source_class_folder"])
+    now, then = tables.read_table(spark, path), tables.read_table(spark, path, as_of=before)
+    both = now.withColumn("way", F.lit("newest")).unionByName(then.withColumn("way", F.lit("before")))
+    return both.groupBy("way", "source_class_folder").agg(F.count("*").alias("n_rows"))
+
+
 @query
 def params_round_trip(spark, sf_dir):
     """Fill values fitted on all flows, saved as JSON, loaded and applied: missing cells left, and the sum of durations."""

@@ -712,3 +712,4 @@ ORACLES["audit_dirty"] = f"""WITH {_DIRTY}, found AS (
 SELECT "check", CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, n::BIGINT::VARCHAR AS detail FROM found
 UNION ALL SELECT 'train balance', CASE WHEN b > 0 AND a / b BETWEEN 0.8 AND 1.2 THEN 'PASS' ELSE 'FAIL' END, 'benign=' || b || ' attack=' || a
 FROM (SELECT count(*) FILTER (target_binary = 0) AS b, count(*) FILTER (target_binary = 1) AS a FROM parts WHERE split = 'train')"""
+ORACLES["committed_table"] = f"""WITH {FLOWS} SELECT way, source_class_folder, count(*) * times AS n_rows FROM flows, (VALUES ('newest', 2), ('before', 1)) w(way, times) GROUP BY way, source_class_folder, times"""
