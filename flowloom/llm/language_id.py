@@ -14,7 +14,6 @@ up to `sample_chars` characters for each language, the lowest by hash.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,12 +36,10 @@ KEPT = 400_000
 UNKNOWN = "und"
 
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
-
-
 def letters_of(word: str) -> str:
+    """The letters of a word in lower case; fractions, superscripts and Roman numeral signs are none."""
     w = word.lower()
-    return w if w.isalpha() else _NO_LETTER.sub("", w)
+    return w if w.isalpha() else "".join(filter(str.isalpha, w))
 
 
 def features(words: list[str], lexica: dict[str, tuple[int, ...]], buckets: int) -> tuple[np.ndarray, np.ndarray]:

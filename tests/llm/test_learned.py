@@ -67,6 +67,11 @@ def test_languages_held_out_and_edge_cases(spark):
     assert language_id.predict_languages(odd.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("text", ["² ½", "Ⅳ ①", "x²" , "١٢٣ ٤", "_ 3.5%"])
+def test_only_letters_count_as_letters(text):
+    assert "".join(map(language_id.letters_of, text.split())) == ("x" if "x" in text else "")
+
+
 @pytest.fixture(scope="module")
 def toxic(spark):
     docs, labels = (common.table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
