@@ -25,9 +25,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowloom.functions import named
-from flowloom.session import settle
+from flowloom.session import new_table_path
 
 UNIT = float(1 << 20)  # gradients are summed in steps of this part of one
+FILE_ROWS = 65_536  # rows of one file of the binned table: a row is few bytes but costs time, so bytes would make too few tasks
 STORED = "bins binary, y int, w double, draw bigint, held boolean, score array<double>"
 LOSS, SIZE = -1, -2  # rows of a scan that are no histogram: losses, gradient sizes
 
@@ -126,6 +127,12 @@ def _binned(rows: DataFrame, model: BoostedTrees) -> DataFrame:
     return rows.mapInArrow(run, STORED)
 
 
+def _kept(table: DataFrame) -> DataFrame:
+    path = new_table_path(table.sparkSession, "boost-rows")
+    table.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def _stored(batch: pa.RecordBatch, bins: pa.Array, score: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([bins, *(batch.column(c) for c in ("y", "w", "draw", "held")), pa.array(list(score), pa.list_(pa.float64()))],
                                       ["bins", "y", "w", "draw", "held", "score"])
@@ -290,7 +297,7 @@ def train(rows: DataFrame, features: Sequence[str], label: str, classes: int = 2
             raise ValueError("a fitted ensemble is continued with its own features and classes")
         model = BoostedTrees.from_json(start.to_json())
         model.rounds, model.losses, model.train_losses = model.rounds[: model.best_round], model.losses[: model.best_round], model.train_losses[: model.best_round]
-    table = settle(_binned(flat, model), "boost-rows")
+    table = _kept(_binned(flat, model))
     stored, last, spread = len(model.rounds), len(model.rounds) + rounds, None
 
     def scan(trees, open_leaves, first):
@@ -355,7 +362,7 @@ def train(rows: DataFrame, features: Sequence[str], label: str, classes: int = 2
             break
         model.rounds.append(trees)
         if len(model.rounds) - stored == store_every and len(model.rounds) < last:
-            table = settle(_renewed(table, model, model.rounds[stored:]), "boost-rows")
+            table = _kept(_renewed(table, model, model.rounds[stored:]))
             stored = len(model.rounds)
     if len(model.train_losses) == len(model.rounds):  # the last round's losses
         note(scan([Tree() for _ in model.start], [[] for _ in model.start], True).groupBy("tree", "node").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect())
