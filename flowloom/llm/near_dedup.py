@@ -11,10 +11,13 @@ the last first arrival over all places, so a text costs little more than its shi
 Signatures are cut into bands; texts that agree in a whole band share a bucket. With 32
 bands of 5 places a pair of similarity 0.8 shares none with probability 3e-6. Inside a
 bucket no pairs are listed: each text is verified against two texts of the bucket, the
-one with the smallest key and one drawn at random by band. The links give components;
-where a bucket still spans several of them, further draws follow, one for each end of the span, and
-last all pairs of a bucket that lie in different components are verified, so that no
-link between buckets' texts is lost. Equal texts are one node from the start.
+one with the smallest key and one drawn at random by band. The links give components.
+A bucket that still spans several of them is cut into blocks of bounded shingles, those of its heaviest
+component apart from the rest; each block of the rest meets every block, so that every two texts of
+different components meet, and no link between buckets' texts is lost. A meeting is solved in one task:
+an inverted index of its shingles bounds the similarity of a text to all others at once, pairs that reach
+the threshold are verified, and components that grow together there need no more verification. Only
+links leave the task, never the pairs. Equal texts are one node from the start.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,35 +145,43 @@ def similarity(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> fl
     return float((1 / (left[both] / u[both] + right[both] / v[both])).sum())
 
 
+def _chunks(batch: pa.RecordBatch, most_rows: int = 1000, most_bytes: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The batch in parts of bounded rows and bytes (one text may be longer), each with its texts."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = min(max(int(np.searchsorted(ends, before + most_bytes, "right")), at + 1), at + most_rows)
+        part = batch.slice(at, to - at)
+        yield part, [t.encode() for t in part.column("text").to_pylist()]
+        at = to
+
+
 def with_bands(rows: DataFrame, bands: int, rows_per_band: int, k: int) -> DataFrame:
-    """(node, keys): one hash for each band of the signature of each row (node, text)."""
+    """(node, size, keys): shingles of each row (node, text) and one hash for each band of its signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                texts = [t.encode() for t in part.column("text").to_pylist()]
+            for part, texts in _chunks(batch):
                 owner, element, count = shingles(texts, k)
                 sign = signatures(len(texts), owner, element, weight(count), bands * rows_per_band)
                 with np.errstate(over="ignore"):
                     key = np.broadcast_to(np.arange(bands, dtype=np.uint64) * GOLD, (len(texts), bands)).copy()
                     for j in range(rows_per_band):
                         key = mix(key + sign[:, j::rows_per_band] * GOLD)
-                some = np.zeros(len(texts), bool)
-                some[owner] = True
-                flat = pa.array(key[some].astype(np.int64).reshape(-1))
-                offsets = np.append(0, np.cumsum(np.where(some, bands, 0))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["node", "keys"])
+                size = np.bincount(owner, minlength=len(texts))
+                flat = pa.array(key[size > 0].astype(np.int64).reshape(-1))
+                offsets = np.append(0, np.cumsum(np.where(size > 0, bands, 0))).astype(np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(offsets), flat)
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(size.astype(np.int64)), keys], ["node", "size", "keys"])
 
-    return rows.select("node", normalised(F.col("text")).alias("text")).mapInArrow(run, "node binary, keys array<long>")
+    return rows.select("node", normalised(F.col("text")).alias("text")).mapInArrow(run, "node binary, size long, keys array<long>")
 
 
 def with_elements(rows: DataFrame, k: int) -> DataFrame:
     """(node, e): the shingles of each row (node, text), as hashes, each as often as it stands there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                texts = [t.encode() for t in part.column("text").to_pylist()]
+            for part, texts in _chunks(batch):
                 owner, element, count = shingles(texts, k)
                 flat = pa.array(np.repeat(element, count).astype(np.int64))
                 offsets = np.append(0, np.cumsum(np.bincount(np.repeat(owner, count), minlength=len(texts)))).astype(np.int32)
@@ -191,6 +203,105 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def blocks_of(open_: DataFrame, block_elements: int) -> DataFrame:
+    """Members (key, node, root, size) of open buckets, dealt to the meetings (key, i, j) of two blocks.
+
+    Blocks hold about `block_elements` shingles. The bucket's heaviest component has blocks of its own, which meet
+    only those of the rest, as its members need no verification against each other.
+    """
+    by_root = open_.groupBy("key", "root").agg(F.sum("size").alias("own"))
+    heavy = by_root.groupBy("key").agg(F.max_by("root", F.struct("own", "root")).alias("main"), F.max("own").alias("main_size"), F.sum("own").alias("whole"))
+    blocks = heavy.select("key", "main", F.ceil(F.col("main_size") / block_elements).cast("int").alias("of_main"),
+                          F.ceil((F.col("whole") - F.col("main_size")) / block_elements).cast("int").alias("of_rest"))
+    is_main, place = F.col("root") == F.col("main"), F.xxhash64("node", F.lit("block"))
+    part = F.when(is_main, F.col("of_rest") + F.pmod(place, "of_main")).otherwise(F.pmod(place, "of_rest")).cast("int")
+    meets = F.col("of_rest") + F.when(is_main, 0).otherwise(F.col("of_main"))
+    dealt = open_.join(blocks, "key").select("key", "node", "root", part.alias("part"), F.explode(F.sequence(F.lit(0), meets - 1)).alias("other"))
+    return dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "root")
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one (key, i, j) at a time, from rows sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy() for c in ("key", "i", "j")]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in ("key", "i", "j")):
+            yield pa.Table.from_batches(held)
+            held = []
+        bounds = np.concatenate([[0], new, [batch.num_rows]])
+        for s, e in zip(bounds[:-1], bounds[1:]):
+            if s:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def links_of_meeting(root: np.ndarray, part: np.ndarray, elements: list[np.ndarray], threshold: float) -> list[tuple[int, int, float]]:
+    """Verified links (row, row, similarity) that join the components `root` of a meeting, as few as join them.
+
+    Rows of one part are another meeting's unless all are of one part. With weights x and y that sum to X and Y, and
+    Xb and Yb over the common elements, the similarity is at most the sum of max(x, y) over these
+    by X + Y - min(Xb, Yb); without repeated elements that is the similarity.
+    """
+    n = len(root)
+    sets = [np.unique(e, return_counts=True) for e in elements]
+    sets = [(e, weight(c)) for e, c in sets]
+    total = np.array([x.sum() for _, x in sets])
+    owner = np.repeat(np.arange(n), [len(e) for e, _ in sets])
+    x = np.concatenate([w for _, w in sets])
+    found, place = np.unique(np.concatenate([e for e, _ in sets]), return_inverse=True)
+    start = np.append(0, np.cumsum(np.bincount(place, minlength=len(found))))
+    first = np.append(0, np.cumsum([len(e) for e, _ in sets]))
+    order = np.argsort(place, kind="stable")
+    posted, posted_x = owner[order], x[order]
+    comp = np.unique(root, return_inverse=True)[1]
+    main = comp == np.argmax(np.bincount(comp))
+    one_part, row, out = part.min() == part.max(), np.arange(n), []
+    for i in np.flatnonzero(~main):
+        open_ = (comp != comp[i]) & (main | (row > i)) & (one_part | (part != part[i]))
+        if not open_.any():
+            continue
+        own = place[first[i] : first[i + 1]]
+        long = start[own + 1] - start[own]
+        at = np.arange(long.sum()) + np.repeat(start[own] - np.append(0, np.cumsum(long)[:-1]), long)
+        who, a, b = posted[at], np.repeat(x[first[i] : first[i + 1]], long), posted_x[at]
+        high = np.bincount(who, np.maximum(a, b), n)
+        low = np.minimum(np.bincount(who, a, n), np.bincount(who, b, n))
+        bound = high / (total[i] + total - low)
+        maybe = np.flatnonzero(open_ & (bound >= threshold - 1e-9))
+        for j in maybe[np.argsort(-bound[maybe], kind="stable")]:
+            if comp[j] != comp[i]:
+                alike = similarity(*sets[i], *sets[j])
+                if alike >= threshold:
+                    out.append((int(i), int(j), alike))
+                    comp[comp == comp[i]] = comp[j]
+    return out
+
+
+def joining_links(meetings: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, similarity, root_a, root_b): links between components, from rows (key, i, j, part, node, root, e) sorted by meeting."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _meetings(batches):
+            if t.num_rows < 2:
+                continue
+            node, root = t.column("node").to_pylist(), t.column("root").to_pylist()
+            e = t.column("e").combine_chunks()
+            flat, ends = e.flatten().to_numpy(), np.append(0, np.cumsum(pc.list_value_length(e).to_numpy(zero_copy_only=False)))
+            elements = [flat[s:f] for s, f in zip(ends[:-1], ends[1:])]
+            links = links_of_meeting(np.array([r.hex() for r in root]), t.column("part").to_numpy(), elements, threshold)
+            rows = [(min(node[i], node[j]), max(node[i], node[j]), s, root[i], root[j]) for i, j, s in links]
+            if rows:
+                kinds = (pa.binary(), pa.binary(), pa.float64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["a", "b", "similarity", "root_a", "root_b"])
+
+    return meetings.mapInArrow(run, "a binary, b binary, similarity double, root_a binary, root_b binary")
+
+
 def components(links: DataFrame, label: str = "dedup") -> DataFrame:
     """(node, root): the smallest node of each connected component of the links (a, b).
 
@@ -213,7 +324,7 @@ def components(links: DataFrame, label: str = "dedup") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, k: int = 5,
-                    bands: int = 32, rows_per_band: int = 5, draws: int = 2) -> DataFrame:
+                    bands: int = 32, rows_per_band: int = 5, block_elements: int = 500_000) -> DataFrame:
     """One row per row of `docs`: id, class_id (smallest id of its class), class_texts (different texts), links (similar
     texts that were verified for its text).
 
@@ -222,15 +333,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("node", node_of(F.col("text")))
-    known = text_classes(rows, threshold, k, bands, rows_per_band, draws)
+    known = text_classes(rows, threshold, k, bands, rows_per_band, block_elements)
     return rows.select("id", "node").join(known, "node").select(F.col("id").alias(id_col), "class_id", "class_texts", "links")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, k: int = 5,
-                    bands: int = 32, rows_per_band: int = 5, draws: int = 2) -> DataFrame:
+                    bands: int = 32, rows_per_band: int = 5, block_elements: int = 500_000) -> DataFrame:
     """The rows of `docs` of which one for each class stays: that of the smallest id; of rows equal in id and text, one."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("node", node_of(F.col("text")))
-    known = text_classes(rows, threshold, k, bands, rows_per_band, draws)
+    known = text_classes(rows, threshold, k, bands, rows_per_band, block_elements)
     keepers = known.filter("keeper").select(F.col("node").alias("of_node"), F.col("first_id").alias("of_id"))
     own = node_of(docs[text_col]) == F.col("of_node")
     kept = docs.join(keepers, own & docs[id_col].eqNullSafe(F.col("of_id"))).drop("of_id")
@@ -243,51 +354,33 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def text_classes(rows: DataFrame, threshold: float, k: int, bands: int, rows_per_band: int, draws: int) -> DataFrame:
+def text_classes(rows: DataFrame, threshold: float, k: int, bands: int, rows_per_band: int, block_elements: int) -> DataFrame:
     """(node, first_id, class_id, class_texts, links, keeper) for each different text of rows (id, text, node)."""
     banded = settle(with_bands(rows, bands, rows_per_band, k), "dedup-bands")
-    in_bucket = banded.groupBy("node").agg(F.first("keys").alias("keys")).select("node", F.explode("keys").alias("key"))
+    distinct = banded.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
+    in_bucket = distinct.select("node", "size", F.explode("keys").alias("key"))
     drawn = F.min_by("node", F.xxhash64("node", "key"))
     buckets = settle(in_bucket.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low"), drawn.alias("drawn")).filter(F.col("n") > 1), "dedup-buckets")
-    members = settle(in_bucket.join(buckets, "key").select("key", "node", "low", "drawn", "n"), "dedup-members")
+    members = settle(in_bucket.join(buckets, "key").select("key", "node", "size", "low", "drawn", "n"), "dedup-members")
     elements = settle(with_elements(rows.join(members.select("node").distinct(), "node").dropDuplicates(["node"]), k), "dedup-elements")
 
-    def pairs_of(table: DataFrame, *ends: str) -> DataFrame:
-        both = table.select("node", F.explode(F.array(*ends)).alias("other")).filter(F.col("node") != F.col("other"))
-        return both.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        full = (pairs.join(elements.select(F.col("node").alias("a"), F.col("e").alias("ea")), "a")
-                .join(elements.select(F.col("node").alias("b"), F.col("e").alias("eb")), "b"))
-        return settle(_verified(full), "dedup-verified")
-
-    tested = verify(pairs_of(members, "low", "drawn"))
-    links = tested.filter(F.col("similarity") >= threshold)
+    both = members.select("node", F.explode(F.array("low", "drawn")).alias("other")).filter(F.col("node") != F.col("other"))
+    pairs = both.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    full = (pairs.join(elements.select(F.col("node").alias("a"), F.col("e").alias("ea")), "a")
+            .join(elements.select(F.col("node").alias("b"), F.col("e").alias("eb")), "b"))
+    links = settle(_verified(full).filter(F.col("similarity") >= threshold), "dedup-links")
     roots = components(links)
 
-    def spans(roots: DataFrame) -> DataFrame:
-        """Members of the buckets of three or more that still lie in several components."""
-        rooted = members.filter(F.col("n") > 2).join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        wide = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter(F.col("r0") != F.col("r1"))
-        return rooted.join(wide.select("key"), "key")
-
-    for turn in range(draws):
-        open_ = settle(spans(roots), "dedup-open")
-        if open_.isEmpty():
-            break
-        by_root = open_.groupBy("key", "root").agg(F.min_by("node", F.xxhash64("node", "key", F.lit(turn))).alias("one"))
-        ends = by_root.groupBy("key").agg(F.min_by("one", "root").alias("e0"), F.max_by("one", "root").alias("e1"))
-        fresh = pairs_of(open_.join(ends, "key"), "e0", "e1").join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        more = verify(fresh)
-        tested = tested.unionByName(more)
-        links = tested.filter(F.col("similarity") >= threshold)
-        roots = components(links)
-    open_ = settle(spans(roots), "dedup-open")
-    if not open_.isEmpty():
-        other = open_.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-        across = open_.join(other, "key").filter(F.col("root") < F.col("root2")).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-        tested = tested.unionByName(verify(across.join(tested.select("a", "b"), ["a", "b"], "left_anti")))
-        links = tested.filter(F.col("similarity") >= threshold)
+    # Of a bucket of two, and of three with two different ends, every pair has been verified.
+    untested = (F.col("n") > 3) | ((F.col("n") == 3) & (F.col("low") == F.col("drawn")))
+    rooted = members.filter(untested).join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
+    wide = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter(F.col("r0") != F.col("r1"))
+    open_ = settle(rooted.join(wide.select("key"), "key"), "dedup-open")
+    meeting = ["key", "i", "j"]
+    met = blocks_of(open_, block_elements).join(elements, "node").repartition(*meeting).sortWithinPartitions(*meeting)
+    joined = settle(joining_links(met, threshold), "dedup-joined")
+    if not joined.isEmpty():
+        links = links.unionByName(joined.select("a", "b", "similarity").dropDuplicates(["a", "b"]))
         roots = components(links)
 
     degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("links"))

@@ -101,6 +101,41 @@ def test_classes_are_those_of_all_pairs(spark, corpus):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == near_dedup.representatives(docs.limit(0)).count() == 0
 
 
+def test_buckets_cut_into_blocks_lose_no_link(spark, corpus):
+    docs = spark.createDataFrame([(i, t) for i, t in corpus], "doc_id long, text string")
+    want = classes(corpus)
+    got = near_dedup.near_duplicates(docs, block_elements=1_000).collect()  # blocks of about seven texts
+    assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, want[t or ""]) for i, t in corpus)
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_a_meeting_joins_what_all_pairs_join(parts):
+    rng = random.Random(parts)
+    base, texts = prose(rng, 60) + prose(rng, 4) * 3, []
+    for _ in range(80):
+        words = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(WORDS) + "y"
+        texts.append(words + words[-8:] * rng.randrange(0, 3))
+    texts = [" ".join(t).encode() for t in texts]
+    owner, element, count = near_dedup.shingles(texts)
+    sets = [(element[owner == i], near_dedup.weight(count[owner == i])) for i in range(80)]
+    part = np.arange(80) % parts
+    root = np.where(np.arange(80) % 5 == 0, np.arange(80), 500 + part)  # some are one component already
+
+    def groups(links):
+        label = np.unique(root, return_inverse=True)[1]
+        for i, j in links:
+            label[label == label[i]] = label[j]
+        return {frozenset(np.flatnonzero(label == x)) for x in set(label)}
+
+    alike = {(i, j): near_dedup.similarity(*sets[i], *sets[j]) for i in range(80) for j in range(i) if parts == 1 or part[i] != part[j]}
+    repeated = [np.repeat(element[owner == i], count[owner == i]) for i in range(80)]
+    got = near_dedup.links_of_meeting(root.astype(str), part, repeated, 0.8)
+    assert groups([(i, j) for i, j, _ in got]) == groups([p for p, s in alike.items() if s >= 0.8])
+    assert 0 < len(got) < 80 and all(s == pytest.approx(alike[max(i, j), min(i, j)]) and s >= 0.8 for i, j, s in got)
+
+
 def test_components_of_a_long_chain(spark):
     rows = [(bytes([0, i]), bytes([0, i + 1])) for i in range(60)] + [(b"x", b"y")]
     got = {bytes(r.node): bytes(r.root) for r in near_dedup.components(spark.createDataFrame(rows, "a binary, b binary")).collect()}
