@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +32,14 @@ def held_out(id_column: Column) -> Column:
 def sample_by_hash(df: DataFrame, key: Column, rows: int) -> DataFrame:
     """The `rows` rows with the lowest hash of `key`: a bounded sample that is the same on every run."""
     return df.orderBy(F.xxhash64(key, F.lit(20)), key).limit(rows)
+
+
+def slices(batch: pa.RecordBatch, text: int, most_rows: int = 1000, most_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of bounded rows and bytes of its column `text`; one text may be longer than that."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = min(max(int(np.searchsorted(ends, before + most_bytes, "right")), at + 1), at + most_rows)
+        yield batch.slice(at, to - at)
+        at = to

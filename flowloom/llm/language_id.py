@@ -8,8 +8,12 @@ are learned with them, from windows of the sample half of which switch language
 Forward-backward gives each word its distribution over languages; a text has the
 language of the largest sum, and its share is the score.
 
-Chains are runs of up to `CHAIN` words. The sample is bounded: `per_language` texts of
-up to `sample_chars` characters for each language, the lowest by hash.
+A text is one chain, however long. It is worked on in blocks of `CHAIN` words at once: the product of
+a block's potentials carries the messages over it, from the text's start and from its end, so that each
+word has the posterior of the whole chain while memory holds a block at a time for each of many texts.
+
+The sample is bounded: `per_language` texts of up to `sample_chars` characters, and
+`language_chars` characters together, for each of the `most_languages` most frequent languages, the lowest by hash.
 """
 
 from __future__ import annotations
@@ -25,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import held_out
+from flowloom.llm.common import held_out, slices
 from flowloom.llm.near_dedup import GOLD, mix
 from flowloom.session import settle
 
 CHAIN = 128
 WINDOW = 32
 LEXICON = 200
-KEPT = 400_000
+KEPT = 100_000  # words, and forty times as many characters
 UNKNOWN = "und"
 
 
@@ -105,25 +109,94 @@ def forward_backward(emission: np.ndarray, lengths: np.ndarray, start: np.ndarra
     return gamma, moves
 
 
-def posteriors(emission: np.ndarray, lengths: np.ndarray, start: np.ndarray, step: np.ndarray) -> np.ndarray:
-    """As forward_backward, without the transitions."""
+def posteriors(emission: np.ndarray, lengths: np.ndarray, first: np.ndarray, step: np.ndarray, last: np.ndarray | None = None) -> np.ndarray:
+    """As forward_backward, without the transitions, for stretches of chains.
+
+    first [chain, language] is what arrives at the first place (start, or the message of the place before by `step`), last
+    [chain, language] the message from behind the last place; of the whole chains' ends, ones. Padding is ones.
+    """
     most = emission.shape[1]
     alpha = np.empty_like(emission)
-    a = emission[:, 0] * start
+    a = emission[:, 0] * first
     alpha[:, 0] = a / a.sum(1, keepdims=True)
     for t in range(1, most):
         a = (alpha[:, t - 1] @ step) * emission[:, t]
         alpha[:, t] = a / a.sum(1, keepdims=True)
-    beta, back = np.ones_like(alpha[:, 0]), step.T.copy()
+    ends, back = np.ones_like(alpha[:, 0]) if last is None else last, step.T.copy()
+    beta = ends
+    alpha[:, most - 1] *= beta
     for t in range(most - 2, -1, -1):
         b = (beta * emission[:, t + 1]) @ back
         b /= b.sum(1, keepdims=True)
-        beta = np.where((t + 1 < lengths)[:, None], b, 1.0).astype(alpha.dtype)
+        beta = np.where((t + 1 < lengths)[:, None], b, ends).astype(alpha.dtype)
         alpha[:, t] *= beta
     alpha /= alpha.sum(2, keepdims=True)
     return alpha
 
 
+def products(emission: np.ndarray, lengths: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """[stretch, language before, language of its last place]: potentials of a way through the stretch, to a factor."""
+    n, most, size = emission.shape
+    out = np.broadcast_to(np.eye(size, dtype=emission.dtype), (n, size, size)).copy()
+    for t in range(most):
+        live = t < lengths
+        moved = (out[live].reshape(-1, size) @ step).reshape(-1, size, size) * emission[live, t, None, :]
+        out[live] = moved / moved.sum((1, 2), keepdims=True)
+    return out
+
+
+def chain_sums(table: np.ndarray, texts: list[np.ndarray], start: np.ndarray, step: np.ndarray, together: int = 512) -> np.ndarray:
+    """[text, language]: posteriors summed over the words of each text, whose potentials are the rows `texts` of `table`."""
+    size = table.shape[1]
+    sums, narrow = np.zeros((len(texts), size)), step.astype(np.float32)
+    owner = np.repeat(np.arange(len(texts)), [-(-len(r) // CHAIN) for r in texts])
+    block = [r[k : k + CHAIN] for r in texts for k in range(0, len(r), CHAIN)]
+    if not block:
+        return sums
+    lengths = np.array([len(b) for b in block])
+    head = np.concatenate([[True], owner[1:] != owner[:-1]])
+    tail = np.append(head[1:], True)
+
+    def padded(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        live = np.arange(lengths[part].max())[None, :] < lengths[part][:, None]
+        places = np.zeros(live.shape, np.int64)
+        places[live] = np.concatenate([block[i] for i in part])
+        return np.where(live[:, :, None], table[places], np.float32(1)), live
+
+    first = np.broadcast_to(start, (len(block), size)).astype(np.float32)
+    last = np.ones((len(block), size), np.float32)
+    many = np.flatnonzero(~(head & tail))  # blocks of texts of more than one
+    if len(many):
+        over = np.zeros((len(block), size, size))
+        over_of = np.where(head, lengths - 1, lengths)  # a first block is entered behind its first place, from its potentials
+        for at in range(0, len(many), together):
+            part = many[at : at + together]
+            emission, _ = padded(part)
+            for mine, from_ in ((head[part], 1), (~head[part], 0)):
+                if mine.any():
+                    over[part[mine]] = products(emission[mine, from_:], over_of[part[mine]], narrow)
+        for i in many:  # messages from block to block
+            if head[i]:
+                message = start * table[block[i][0]]
+            message = message @ over[i]
+            message /= message.sum()
+            if not tail[i]:
+                first[i + 1] = message @ step
+        for i in many[::-1]:
+            if tail[i]:
+                message = np.ones(size)
+            last[i] = message
+            message = over[i] @ message
+            message /= message.sum()
+    order = np.argsort(lengths, kind="stable")
+    for at in range(0, len(order), together):
+        part = order[at : at + together]
+        emission, live = padded(part)
+        gamma = posteriors(emission, lengths[part], first[part], narrow, last[part])
+        np.add.at(sums, owner[part], (gamma * live[:, :, None]).sum(1, dtype=np.float64))
+    return sums
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -135,6 +208,7 @@ class Model:
     known: dict[str, int] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
     table: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.float32))
+    chars: int = 0
 
     def potentials(self, logs: np.ndarray) -> np.ndarray:
         return np.exp(np.clip(logs - logs.max(-1, keepdims=True), -30, 0))
@@ -149,6 +223,7 @@ class Model:
             self.rows.update(zip(fresh, range(len(self.table), len(self.table) + len(fresh))))
             self.table = np.concatenate([self.table, table])
         self.known.update((w, self.rows[x] if x else -1) for w, x in plain.items())
+        self.chars += sum(map(len, plain))
 
     def places(self, words: list[str]) -> np.ndarray:
         """Rows of the table for the words with letters, in order."""
@@ -158,33 +233,22 @@ class Model:
         return found[found >= 0]
 
     def reset(self) -> None:
-        if len(self.known) >= KEPT:
-            self.known.clear()
-            self.rows.clear()
-            self.table = self.table[:0]
+        """Forgets the words met, which cost time and no results."""
+        self.known.clear()
+        self.rows.clear()
+        self.table = self.table[:0].copy()
+        self.chars = 0
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text."""
         if not self.languages:
             return [(UNKNOWN, 0.0)] * len(texts)
-        self.reset()
+        if len(self.known) >= KEPT or self.chars >= 40 * KEPT:
+            self.reset()
         words = [t.split() if t else [] for t in texts]
         self.add(set(chain.from_iterable(words)).difference(self.known))
-        rows = [self.places(ws) for ws in words]
-        sums = np.zeros((len(texts), len(self.languages)))
-        chains = [(i, r[k : k + CHAIN]) for i, r in enumerate(rows) for k in range(0, len(r), CHAIN)]
-        chains.sort(key=lambda c: len(c[1]))
-        for at in range(0, len(chains), 2048):
-            part = chains[at : at + 2048]
-            lengths = np.array([len(c) for _, c in part])
-            places = np.zeros((len(part), lengths.max()), np.int64)
-            live = np.arange(places.shape[1])[None, :] < lengths[:, None]
-            places[live] = np.concatenate([c for _, c in part])
-            emission = np.where(live[:, :, None], self.table[places], np.float32(1))
-            gamma = posteriors(emission, lengths, self.start.astype(np.float32), self.step.astype(np.float32))
-            np.add.at(sums, [i for i, _ in part], (gamma * live[:, :, None]).sum(1, dtype=np.float64))
         out = []
-        for s in sums:
+        for s in chain_sums(self.table, [self.places(ws) for ws in words], self.start, self.step):
             total = s.sum()
             out.append((self.languages[int(s.argmax())], float(min(1.0, s.max() / total))) if total > 0 else (UNKNOWN, 0.0))
         return out
@@ -264,15 +328,26 @@ def fit(samples: list[tuple[str, str]], buckets: int = 1 << 16, epochs: int = 5,
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = 400,
-          sample_chars: int = 100_000) -> Model:
-    """Field from documents outside the held-out fold that have a language; per_language bounds the sample."""
+          sample_chars: int = 100_000, language_chars: int = 4_000_000, most_languages: int = 64) -> Model:
+    """Field from documents outside the held-out fold that have a language; the last four parameters bound the sample.
+
+    Languages beyond the `most_languages` that most texts have are not learned.
+    """
     rows = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & (F.length(text_col).between(1, sample_chars))).select(
-        F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("h"), "h", "text"))
-    first = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("h"), "h")))
+        F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.length(text_col).alias("n_chars"), F.col(text_col).alias("text"))
+    # ranked by part of a language first, so that no task ranks all texts of one
+    lowest = W.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy(F.xxhash64("h"), "h")
+    first = settle(rows.groupBy("lang", "h").agg(F.count("*").alias("texts"), F.max("n_chars").alias("n_chars"))
+                   .withColumn("n", F.row_number().over(lowest)).withColumn("texts", F.sum("texts").over(W.partitionBy("lang", F.pmod("h", F.lit(64)))))
+                   .filter(F.col("n") <= per_language), "language-lowest")
+    common = (first.filter(F.col("n") == 1).groupBy("lang").agg(F.sum("texts").alias("texts"))
+              .orderBy(F.col("texts").desc(), "lang").limit(most_languages).select("lang"))
+    every = W.partitionBy("lang").orderBy(F.xxhash64("h"), "h")
     # written, so that its size is known and the texts are not shuffled to join it
-    wanted = settle(first.filter(F.col("n") <= per_language).select("lang", "h"), "language-sample")
-    chosen = rows.join(wanted, ["lang", "h"]).withColumn("n", place).dropDuplicates(["lang", "h"]).select("lang", "h", "text").collect()
+    wanted = settle(first.join(common, "lang").withColumn("n", F.row_number().over(every))
+                    .withColumn("upto", F.sum("n_chars").over(every.rowsBetween(W.unboundedPreceding, 0)))
+                    .filter((F.col("n") <= per_language) & (F.col("upto") <= language_chars)).select("lang", "h"), "language-sample")
+    chosen = rows.join(wanted, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
     return fit([(r["lang"], r["text"]) for r in sorted(chosen, key=lambda r: (r["lang"], r["h"]))])
 
 
@@ -287,12 +362,13 @@ def predict_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                found = sent.value.predict(part.column(2).to_pylist())
+            for part in slices(batch, 2):
+                found = own.predict(part.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([f[0] for f in found], pa.string()),
                                                   pa.array([f[1] for f in found], pa.float64())], ["id", "held_out", "lang_pred", "score"])
+        own.reset()
 
     id_type = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {id_type}, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_col)
@@ -303,10 +379,11 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
         for batch in batches:
-            for first in range(0, batch.num_rows, 2000):
-                part = batch.slice(first, 2000)
-                found = sent.value.predict(part.column(at).to_pylist())
+            for part in slices(batch, at):
+                found = own.predict(part.column(at).to_pylist())
                 yield part.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+        own.reset()
 
     return docs.mapInArrow(run, docs.schema)

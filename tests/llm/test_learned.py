@@ -3,6 +3,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +45,44 @@ def test_forward_backward_is_the_sum_over_all_paths():
         assert again[c, :n] == pytest.approx(gamma[c, :n])
 
 
+def test_long_chains_are_not_cut():
+    rng = np.random.default_rng(5)
+    size = 4
+    table = (rng.random((50, size)) ** 4 + 1e-6).astype(np.float32)
+    start, step = rng.random(size) + 0.1, rng.random((size, size)) + np.eye(size) * 3
+    cut = language_id.CHAIN
+    texts = [rng.integers(0, 50, n) for n in (0, 1, 5, cut - 1, cut, cut + 1, 2 * cut, 2 * cut + 1, 11 * cut + 17, 0, 3)]
+    got = language_id.chain_sums(table, texts, start, step, together=3)
+    for sums, places in zip(got, texts):
+        want = np.zeros(size)
+        if len(places):
+            want = language_id.forward_backward(table[places][None].astype(float), np.array([len(places)]), start, step)[0][0].sum(0)
+        assert sums == pytest.approx(want, rel=1e-3, abs=1e-3)
+    # words without a sign of their own take the language of the words on both sides, however far away the blocks are cut
+    plain = np.vstack([np.ones(2), [1, 1e-9], [1e-9, 1]]).astype(np.float32)
+    keep = np.array([[1, 1e-4], [1e-4, 1]])
+    for sign in (1, 2):
+        text = np.zeros(cut + 40, np.int64)
+        text[cut + 30] = sign
+        share = language_id.chain_sums(plain, [text], np.ones(2), keep)[0] / len(text)
+        assert share[sign - 1] > 0.98
+
+
+def test_the_language_sample_is_bounded(spark):
+    rows = [(i, "abcdefgh"[i % 8] * 2, f"word{chr(97 + i % 26)} text{chr(97 + i // 26 % 26)} {chr(97 + i % 7) * 5}") for i in range(400)]
+    rows += [(1000 + i, "zz", "rare words") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert language_id.learn(docs).languages == [c * 2 for c in "abcdefgh"] + ["zz"]
+    assert language_id.learn(docs, most_languages=8).languages == [c * 2 for c in "abcdefgh"]
+    assert language_id.learn(docs, language_chars=5).languages == []
+
+
+def test_batches_are_cut_by_bytes():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 9, None, "b" * 50, "", "c" * 9, "d"])], ["i", "t"])
+    assert [p.column(0).to_pylist() for p in common.slices(batch, 1, 3, 20)] == [[0, 1], [2], [3, 4, 5]]
+    assert list(common.slices(batch.slice(0, 0), 1)) == []
+
+
 def test_languages_held_out_and_edge_cases(spark):
     docs = common.table(spark, "/root/testdata/sf0.01", "documents")
     model = language_id.learn(docs, per_language=60)
