@@ -38,7 +38,7 @@ from flowloom.session import settle
 _WORD = re.compile(r"[^\W\d_]+")
 STEMS = (5, 7)
 BLOCK = 64
-KEPT = 400_000
+KEPT = 100_000
 
 
 def terms_of(word: str) -> list[str]:
@@ -258,13 +258,15 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
         for batch in batches:
-            found = [sent.value.score(t.as_py()) for t in batch.column(2)]
+            found = [own.score(t.as_py()) for t in batch.column(2)]
             scores = [f[0] for f in found]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()),
                 pa.array([f[1] for f in found], batch.column(0).type), pa.array([f[2] for f in found], pa.float64())],
                 ["id", "held_out", "score", "predicted", "nearest_id", "nearest_cosine"])
+        own.words.clear()
 
     out = rows.mapInArrow(run, f"id {id_type}, held_out boolean, score double, predicted int, nearest_id {id_type}, nearest_cosine double")
     return out.withColumnRenamed("id", id_col)
@@ -275,7 +277,9 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
         for batch in batches:
-            yield batch.filter(pa.array([sent.value.score(t.as_py())[0] < threshold for t in batch.column(at)], pa.bool_()))
+            yield batch.filter(pa.array([own.score(t.as_py())[0] < threshold for t in batch.column(at)], pa.bool_()))
+        own.words.clear()
 
     return docs.mapInArrow(run, docs.schema)
