@@ -71,6 +71,7 @@ class BacktrackingBPE:
             self.automaton.add_word(b.decode("latin-1"), i)
             self.shorter[i] = next((self.id_of[b[:k]] for k in range(len(b) - 1, 0, -1) if b[:k] in self.id_of), -1)
         self.automaton.make_automaton()
+        self.kept = KEPT
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[tuple[int, ...], str]] = {}
         self.split, self.split_latin = regex.compile(PATTERN).findall, re.compile(LATIN_PATTERN).findall
@@ -85,7 +86,7 @@ class BacktrackingBPE:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= KEPT:
+            if len(self.pairs) >= self.kept:
                 self.pairs.clear()
             known = self.pairs[key] = self._border_holds(left, right)
         return known
@@ -125,7 +126,7 @@ class BacktrackingBPE:
         return taken
 
     def _word(self, word: str) -> tuple[tuple[int, ...], str]:
-        if len(self.words) >= KEPT:
+        if len(self.words) >= self.kept:
             self.words.clear()
         ids = tuple(self.encode_word(word.encode()))
         entry = ids, ",".join(map(str, ids))
@@ -195,15 +196,17 @@ def coder(path: str) -> BacktrackingBPE:
 
 
 def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 keep_ids: bool = False, keep_text: bool = False) -> DataFrame:
+                 keep_ids: bool = False, keep_text: bool = False, kept_words: int = KEPT) -> DataFrame:
     """One row per row of `docs`: id, n_tokens, ids_sha256, decoded_sha256, with
     `keep_ids` also token_ids (array of int) and with `keep_text` decoded (string).
 
     Null and empty texts have no tokens and the hashes of the empty string. Repeated
     rows and ids are kept as they are; other columns are not read. There is no shuffle.
+    A worker remembers the tokens of up to `kept_words` words, which costs memory and no results.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(tokenizer_path)
+        bpe.kept = kept_words
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
             n, ids_hash, text_hash, ids = zip(*[bpe.digest(t, keep_ids or keep_text) for t in texts]) if texts else ((), (), (), ())

@@ -35,3 +35,23 @@ def test_whole_run_gives_the_stages_rows(spark, sf):
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "token_ids"]
     n = got.count()
     assert 0.5 * common.table(spark, sf, "documents").count() < n == got.select("doc_id").distinct().count()
+
+
+def test_nulls_repeats_and_empty_tables(spark, sf, tmp_path):
+    from pyspark.sql import functions as F
+
+    docs = common.table(spark, sf, "documents")
+    plain = docs.filter("lang = 'en'").orderBy("doc_id").limit(1)
+    text = "the people of the city said that they would have been there for all of the time"
+    odd = [plain.withColumn("doc_id", F.lit(i).cast("long")).withColumn("text", F.lit(t)) for i, t in ((None, text), (-2, None), (-3, ""), (-4, text), (-4, text))]
+    for part in odd:
+        docs = docs.unionByName(part.select(docs.columns))
+    for folder, rows in (("odd", docs), ("none", docs.limit(0))):
+        rows.write.parquet(f"{tmp_path}/{folder}/documents.parquet")
+        for name in ("labels", "benchmark"):
+            common.table(spark, sf, name).write.parquet(f"{tmp_path}/{folder}/{name}.parquet")
+    size = spark.conf.get(corpus_pipeline.BATCH[0])
+    got = [r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/odd").select("doc_id").collect()]
+    assert -2 not in got and -3 not in got and got.count(-4) + got.count(None) == 1  # one of each group of copies
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    assert spark.conf.get(corpus_pipeline.BATCH[0]) == size
