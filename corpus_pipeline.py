@@ -36,7 +36,7 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, hashes of ids and decoded text, token_ids."""
-    return bpe.encode_texts(docs, common.tokenizer_file(), keep_ids=True)
+    return bpe.encode_texts(docs, common.tokenizer_file(), keep_ids=True, kept_words=100_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -51,11 +51,24 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL: str | None = None
 
 
+#: Rows sent to Python at once: long texts make the default of 10,000 rows hundreds of megabytes on both sides.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`."""
+    """All stages over `documents`.
+
+    Rows with a null id are kept like others until near copies, where a group keeps one document; texts without a
+    letter, null ones too, go with the first stage. Repeated rows are near copies. An empty table gives an empty result.
+    """
     docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = new_table_path(spark, f"corpus-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    before = spark.conf.get(BATCH[0])
+    spark.conf.set(*BATCH)
+    try:
+        for name, stage in STAGES:
+            path = new_table_path(spark, f"corpus-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+    finally:
+        spark.conf.set(BATCH[0], before)
     return docs
