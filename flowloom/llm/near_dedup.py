@@ -305,22 +305,37 @@ def joining_links(meetings: DataFrame, threshold: float) -> DataFrame:
 def components(links: DataFrame, label: str = "dedup") -> DataFrame:
     """(node, root): the smallest node of each connected component of the links (a, b).
 
-    Each round takes the smallest root among a node and its neighbours, then twice the root's root;
-    rounds end when nothing changes, about the logarithm of the longest chain. Each is a written table.
+    Each round hangs every node under its smallest neighbour, shortens the trees to stars and keeps of the links only
+    those between different roots, once each. At least half of the nodes are no roots, so rounds are at most the
+    logarithm of the nodes, and links inside a group are joined in one round only. Each step is a written table.
     """
-    both = settle(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{label}-edges")
-    roots = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), f"{label}-roots")
+    def lower_first(a: Column | str, b: Column | str) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    edges = settle(links.select(*lower_first("a", "b")).distinct(), f"{label}-edges")
+    roots = None
     while True:
-        near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        new = roots.join(near, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
-        new = settle(new, f"{label}-roots")
-        for _ in range(2):
-            up = new.select(F.col("node").alias("root"), F.col("root").alias("up"))
-            new = new.join(up, "root").select("node", "was", F.col("up").alias("root"))
-        new = settle(new, f"{label}-roots")
-        if new.filter(F.col("was") != F.col("root")).isEmpty():
-            return new.select("node", "root")
-        roots = new.select("node", "root")
+        both = edges.union(edges.select("b", "a"))
+        tree = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), f"{label}-tree")
+        while True:
+            new = tree.withColumn("was", F.col("root"))
+            for _ in range(2):
+                up = new.select(F.col("node").alias("root"), F.col("root").alias("up"))
+                new = new.join(up, "root").select("node", "was", F.col("up").alias("root"))
+            new = settle(new, f"{label}-tree")
+            tree = new.select("node", "root")
+            if new.filter(F.col("was") != F.col("root")).isEmpty():
+                break
+        if roots is None:
+            roots = tree
+        else:
+            up = tree.select(F.col("node").alias("root"), F.col("root").alias("up"))
+            roots = settle(roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), f"{label}-roots")
+        ends = (edges.join(tree.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a")
+                .join(tree.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b").filter(F.col("root_a") != F.col("root_b")))
+        edges = settle(ends.select(*lower_first("root_a", "root_b")).distinct(), f"{label}-edges")
+        if edges.isEmpty():
+            return roots
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, k: int = 5,
@@ -381,7 +396,11 @@ def text_classes(rows: DataFrame, threshold: float, k: int, bands: int, rows_per
     joined = settle(joining_links(met, threshold), "dedup-joined")
     if not joined.isEmpty():
         links = links.unionByName(joined.select("a", "b", "similarity").dropDuplicates(["a", "b"]))
-        roots = components(links)
+        # the components are known already; only these links between them are new
+        up = components(joined.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "dedup-joins")
+        every = roots.select("node").union(up.select("node")).distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        up = up.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        roots = settle(every.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "dedup-roots")
 
     degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("links"))
     nodes = settle(rows.select("id", "node").groupBy("node").agg(F.min("id").alias("id")).join(roots, "node", "left")

@@ -142,6 +142,39 @@ def test_components_of_a_long_chain(spark):
     assert len(got) == 63 and {v for k, v in got.items() if len(k) == 2} == {bytes([0, 0])} and got[b"y"] == b"x"
 
 
+def test_components_join_each_link_in_one_round_only(spark, monkeypatch):
+    rng = random.Random(6)
+    pairs = {(min(p), max(p)) for g in range(3) for _ in range(600) if len(set(p := (g * 40 + rng.randrange(40), g * 40 + rng.randrange(40)))) == 2}
+    pairs |= {(200 + i, 200 + (i * 7 + 1) % 50) for i in range(50)} | {(300, 5), (300, 45)}  # a node that only the second round joins to both
+    edges, settle = [], near_dedup.settle
+
+    def counted(df, label):
+        table = settle(df, label)
+        if label == "dedup-edges":
+            edges.append(table.count())
+        return table
+
+    monkeypatch.setattr(near_dedup, "settle", counted)
+    rows = [(bytes([a >> 8, a & 255]), bytes([b >> 8, b & 255])) for a, b in pairs if a != b]
+    got = {(r.node[0] << 8) + r.node[1]: (r.root[0] << 8) + r.root[1] for r in near_dedup.components(spark.createDataFrame(rows, "a binary, b binary")).collect()}
+    root = {x: x for p in pairs for x in p}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == root
+    assert len(edges) > 1 and edges[0] <= len(rows) and sum(edges[1:]) < edges[0] / 20 and edges[-1] == 0
+
+
+def test_links_known_before_blocks_are_not_joined_again(spark, corpus, monkeypatch):
+    given, components = [], near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda links, *more: (given.append(links.count()), components(links, *more))[1])
+    docs = spark.createDataFrame([(i, t) for i, t in corpus], "doc_id long, text string")
+    want = classes(corpus)
+    got = near_dedup.near_duplicates(docs, bands=8, block_elements=1_000).collect()  # few bands leave links to the blocks
+    assert len(got) == len(corpus) and all(r.class_id is None or r.class_id >= want[dict(corpus).get(r.doc_id) or ""] for r in got if r.doc_id)
+    assert len(given) == 2 and 0 < given[1] < given[0] / 4
+
+
 def brute_leaks(docs, items):
     found = {}
     for d, t in docs:
