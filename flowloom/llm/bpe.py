@@ -196,13 +196,13 @@ def coder(path: str) -> BacktrackingBPE:
 
 
 def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 keep_ids: bool = False, keep_text: bool = False, kept_words: int = KEPT) -> DataFrame:
+                 keep_ids: bool = False, keep_text: bool = False, kept_words: int = KEPT, forget: bool = False) -> DataFrame:
     """One row per row of `docs`: id, n_tokens, ids_sha256, decoded_sha256, with
     `keep_ids` also token_ids (array of int) and with `keep_text` decoded (string).
 
     Null and empty texts have no tokens and the hashes of the empty string. Repeated
     rows and ids are kept as they are; other columns are not read. There is no shuffle.
-    A worker remembers the tokens of up to `kept_words` words, which costs memory and no results.
+    A worker remembers the tokens of up to `kept_words` words, which costs memory and no results; with `forget` only to the end of a task.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(tokenizer_path)
@@ -217,6 +217,8 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             if keep_text:
                 columns.append(pa.array([bpe.decode_bytes(i).decode("utf-8", "replace") for i in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names)
+        if forget:  # the worker goes on to other stages
+            bpe.words.clear()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     fields = [("id", rows.schema["id"].dataType.simpleString()), ("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
