@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.llm.common import tidy
 from flowloom.llm.token_counts import PATTERN, STABLE, byte_alphabet
 
 #: Texts are split and hashed in slices of about so many characters, cut at stable places.
@@ -202,7 +203,8 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     Null and empty texts have no tokens and the hashes of the empty string. Repeated
     rows and ids are kept as they are; other columns are not read. There is no shuffle.
-    A worker remembers the tokens of up to `kept_words` words, which costs memory and no results; with `forget` only to the end of a task.
+    A worker remembers the tokens of up to `kept_words` words, which costs memory and no results; with `forget` only to the end of a task,
+    where it also returns unused memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(tokenizer_path)
@@ -224,4 +226,4 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     fields = [("id", rows.schema["id"].dataType.simpleString()), ("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
     fields += [("token_ids", "array<int>")] * keep_ids + [("decoded", "string")] * keep_text
     names = [n for n, _ in fields]
-    return rows.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in fields)).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run) if forget else run, ", ".join(f"{n} {t}" for n, t in fields)).withColumnRenamed("id", id_col)

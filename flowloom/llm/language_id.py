@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import held_out, slices
+from flowloom.llm.common import held_out, slices, tidy
 from flowloom.llm.near_dedup import GOLD, mix
 from flowloom.session import settle
 
@@ -386,4 +386,4 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least
                 yield part.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
         own.reset()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.llm.common import tidy
 from flowloom.session import settle
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -174,7 +175,7 @@ def with_bands(rows: DataFrame, bands: int, rows_per_band: int, k: int) -> DataF
                 keys = pa.ListArray.from_arrays(pa.array(offsets), flat)
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(size.astype(np.int64)), keys], ["node", "size", "keys"])
 
-    return rows.select("node", normalised(F.col("text")).alias("text")).mapInArrow(run, "node binary, size long, keys array<long>")
+    return rows.select("node", normalised(F.col("text")).alias("text")).mapInArrow(tidy(run), "node binary, size long, keys array<long>")
 
 
 def with_elements(rows: DataFrame, k: int) -> DataFrame:
@@ -187,7 +188,7 @@ def with_elements(rows: DataFrame, k: int) -> DataFrame:
                 offsets = np.append(0, np.cumsum(np.bincount(np.repeat(owner, count), minlength=len(texts)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["node", "e"])
 
-    return rows.select("node", normalised(F.col("text")).alias("text")).mapInArrow(run, "node binary, e array<long>")
+    return rows.select("node", normalised(F.col("text")).alias("text")).mapInArrow(tidy(run), "node binary, e array<long>")
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
@@ -200,7 +201,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
                 out.append(similarity(a, weight(x), b, weight(y)))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
-    return pairs.mapInArrow(run, "a binary, b binary, similarity double")
+    return pairs.mapInArrow(tidy(run), "a binary, b binary, similarity double")
 
 
 def blocks_of(open_: DataFrame, block_elements: int) -> DataFrame:
@@ -299,7 +300,7 @@ def joining_links(meetings: DataFrame, threshold: float) -> DataFrame:
                 kinds = (pa.binary(), pa.binary(), pa.float64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["a", "b", "similarity", "root_a", "root_b"])
 
-    return meetings.mapInArrow(run, "a binary, b binary, similarity double, root_a binary, root_b binary")
+    return meetings.mapInArrow(tidy(run), "a binary, b binary, similarity double, root_a binary, root_b binary")
 
 
 def components(links: DataFrame, label: str = "dedup") -> DataFrame:

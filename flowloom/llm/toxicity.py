@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import held_out
+from flowloom.llm.common import held_out, tidy
 from flowloom.session import settle
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -282,4 +282,4 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
             yield batch.filter(pa.array([own.score(t.as_py())[0] < threshold for t in batch.column(at)], pa.bool_()))
         own.words.clear()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -1,3 +1,6 @@
+from pathlib import Path
+
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -55,3 +58,34 @@ def test_nulls_repeats_and_empty_tables(spark, sf, tmp_path):
     assert -2 not in got and -3 not in got and got.count(-4) + got.count(None) == 1  # one of each group of copies
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
     assert spark.conf.get(corpus_pipeline.BATCH[0]) == size
+
+
+def test_every_stage_by_itself_sends_small_batches(spark, sf):
+    docs = common.table(spark, sf, "documents").limit(50)
+    before = spark.conf.get(corpus_pipeline.BATCH[0])
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(corpus_pipeline.BATCH[0], "10000")
+            stage(spark, docs, sf)
+            sizes = spark.range(0, 5000, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+            assert max(r.n for r in sizes.collect()) == 1000
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH[0], before)
+
+
+def test_workers_return_unused_memory():
+    def anonymous_mb():
+        return sum(int(line.split()[1]) for line in Path("/proc/self/smaps_rollup").read_text().splitlines() if line.startswith("Anonymous:")) / 1024
+
+    held = []
+
+    def run(batches):
+        for batch in batches:
+            texts = [bytes(2000) for _ in range(50_000)]
+            held.extend(texts[::1000])  # a few that stay keep the memory around them from being returned by itself
+            held.append(anonymous_mb())
+            yield batch
+
+    batch = pa.RecordBatch.from_pydict({"n": [1]})
+    assert [b.num_rows for b in common.tidy(run)(iter([batch]))] == [1]
+    assert held[-1] - anonymous_mb() > 60
