@@ -140,3 +140,26 @@ def test_live_scoring_of_a_growing_folder(spark, forest, tmp_path):
         run_available(live, out, state).awaitTermination()
     got = {r.row_key: r.verdict for r in spark.read.parquet(out).collect()}
     assert got == {"a": "BENIGN", "b": "ATTACK", "c": "BENIGN"}
+
+
+def test_registry_cascade_reads_joined_flows(spark, tmp_path, monkeypatch):
+    from workload import file_queries
+
+    parts = spark.range(40).select(F.col("id").alias("p_partkey"), F.format_string("Brand#%d", F.col("id") % 5).alias("p_brand"), F.element_at(F.array(F.lit("STANDARD"), F.lit("PROMO")), (F.col("id") % 2 + 1).cast("int")).alias("p_type"))
+    parts.unionByName(parts.where("p_partkey = 7")).write.parquet(str(tmp_path / "part.parquet"))
+    n = F.col("id")
+    lines = spark.range(900).select(
+        F.when(n % 100 != 99, n % 45).alias("l_partkey"), n.alias("l_orderkey"), (n % 10).alias("l_suppkey"), F.lit(1).alias("l_linenumber"), (n * 7 % 50 + 1).cast("double").alias("l_quantity"),
+        (n * 1.5 + 1).cast("double").alias("l_extendedprice"), F.lit(0.1).alias("l_discount"), F.lit(0.02).alias("l_tax"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    plans, binary = [], file_queries._binary
+    monkeypatch.setattr(file_queries, "_binary", lambda rows, *a: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or binary(rows, *a))
+    told = file_queries.registry_cascade(spark, str(tmp_path))
+    plans.append(told._jdf.queryExecution().executedPlan().toString())
+    # the part keys are no table of the driver's, and flows are joined once for all models and branches
+    assert len(plans) == 4 and not any("Broadcast" in p or "l_partkey" in p for p in plans)
+    joined = file_queries.ruled_flows(spark, str(tmp_path), "merge")
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    said = F.when(F.col("l_quantity") <= 25, "gate").when(F.col("l_quantity") <= 40, "second").otherwise("classes")
+    want = [(r.l_orderkey, "high" if r.said == "classes" else "Benign", r.said) for r in lines.withColumn("said", said).where("l_partkey < 40").collect() for _ in range(1 + (r.l_partkey == 7))]
+    assert sorted((int(r.row_key.split("-")[0]), r.attack_class, r.decided_by) for r in told.collect()) == sorted(want)

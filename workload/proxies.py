@@ -38,17 +38,20 @@ def _gap():
     return F.when(F.col("l_discount") != 0, F.col("l_discount") * F.col("l_quantity"))
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their part; the brand, which names the file, is one for one family and one of two for another."""
+def _lines(spark: SparkSession, sf_dir: str, join: str | None = None) -> DataFrame:
+    """Line items with their part; the brand, which names the file, is one for one family and one of two for another.
+
+    `join` is a hint how to join: Spark's estimate of the pruned, compressed part table can be far below the size of its keys on the driver.
+    """
     odd = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int") % 2 == 1
     brand = F.when(F.col("p_type") == "PROMO", "Brand#11").when(F.col("p_type") == "SMALL", F.when(odd, "Brand#11").otherwise("Brand#12"))
     part = table(spark, sf_dir, "part").select("p_partkey", F.coalesce(brand, "p_brand").alias("p_brand"), "p_type")
-    return table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return table(spark, sf_dir, "lineitem").join(part.hint(join) if join else part, F.col("l_partkey") == F.col("p_partkey"))
 
 
-def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flows(spark: SparkSession, sf_dir: str, join: str | None = None) -> DataFrame:
     family = _lookup(CLASS_OF_TYPE, "p_type")
-    return _lines(spark, sf_dir).select(
+    return _lines(spark, sf_dir, join).select(
         _line_key().alias("row_key"),
         family.alias("source_class_folder"),
         F.concat_ws("/", family, "p_brand").alias("source_relative_file"),

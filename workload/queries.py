@@ -732,9 +732,9 @@ def train_and_judge(spark, sf_dir):
 # ---- learners on rules that trees reproduce: checked against SQL ------------------------------
 
 
-def ruled_flows(spark, sf_dir):
+def ruled_flows(spark, sf_dir, join=None):
     """All flows with a binary and a three-class label that follow from one feature; the others are noise."""
-    rows = cleaning.zero_clean(proxies.flows(spark, sf_dir), FEATURES[:4])
+    rows = cleaning.zero_clean(proxies.flows(spark, sf_dir, join), FEATURES[:4])
     split = F.when(F.pmod(F.xxhash64("row_key"), F.lit(10)) < 7, "train").when(F.pmod(F.xxhash64("row_key"), F.lit(10)) < 8, "val").otherwise("test")
     duration = F.col(FEATURES[0])
     return rows.select(
