@@ -133,6 +133,21 @@ def test_pages_with_an_article_are_differenced(spark, sf):
     assert page_text.extract_text(common.table(spark, sf.replace("sf0.001", "sf0.01"), "pages")).filter("n_shared > 0").count() > 9
 
 
+def test_lines_of_articles_are_aligned_one_by_one(spark):
+    rows = [
+        (1, "http://h.x/a/1", "<nav><li>Home</nav><article><h1>One<p>Said by two<p>Said by both<p>End</article><footer>Foot</footer>"),
+        (2, "http://h.x/a/2", "<nav><li>Home</nav><footer>Foot</footer><article><h1>Two<p>Said by two<p>New<p>Said by both</article>"),
+        (3, "http://h.x/b/3", "<article>Said by both<div class=ad>Said by two</div><p>Home</article>"), (4, "http://alone.x/", "<article>Said by two<p>End</article>"),
+        (5, "http://h.x/c/5", "<div>Said by both</div><div>Home</div><div>Open</div>"),
+    ]
+    got = {r.page_id: (r.text, r.n_shared, r.n_restored) for r in page_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # two shared lines of the articles, after one menu line, are longer than the footer that stands on their other side
+    assert got[1] == ("One\nSaid by two\nSaid by both\nEnd", 1, 2)
+    assert got[2] == ("Two\nSaid by two\nNew\nSaid by both", 1, 2)
+    assert got[3] == ("Said by both\nHome", 0, 1)  # an advert or an open line shares nothing with an article's
+    assert got[4] == ("Said by two\nEnd", 0, 0) and got[5] == ("Said by both\nHome\nOpen", 0, 0)
+
+
 def test_many_repeated_lines_are_aligned():
     import random
     rng = random.Random(5)
